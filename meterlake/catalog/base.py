@@ -56,7 +56,9 @@ def statused(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Features, bound model scores, status, risk and efficiency of every reading."""
-    return efficiency_metrics(score_risk(classify(flagged(features(spark, folder)))))
+    return efficiency_metrics(
+        score_risk(classify(flagged(features(spark, folder))), unit=("night_usage_ratio",))
+    )
 
 
 # ---- SQL -----------------------------------------------------------------------------------------

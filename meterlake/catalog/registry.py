@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterlake.catalog import cleaning  # noqa: F401
+from meterlake.catalog import cleaning, rollups, scoring  # noqa: F401
 from meterlake.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

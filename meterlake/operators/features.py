@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import column_or, ratio
 from meterlake.plans.ranges import cell_of, search_index
+from meterlake.plans.size import input_bytes
 from meterlake.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 
 WINDOW_ROWS = 24
@@ -53,7 +54,7 @@ def hot_meters(df: DataFrame, time_col: str, tie: str, hot_rows: int) -> DataFra
     20 000 such meters; together they get at most about 80 000 bounds, which is safe to broadcast.
     """
     counts = df.groupBy("meter_id").agg(F.count("*").alias("_n"), F.max("consumption_kwh").alias("_peak"))
-    share = (df.agg(F.count("*").alias("n")).scalar() / 20_000).cast("bigint")
+    share = (counts.agg(F.sum("_n")).scalar() / 20_000).cast("bigint")
     hot = counts.where(F.col("_n") > F.greatest(share, F.lit(hot_rows)))
     slot_rows = F.greatest(F.lit(max(1, hot_rows // 4)), F.floor(F.col("_n") / 4096))
     key = F.struct(F.col(time_col).alias("t"), F.col(tie).alias("k"))
@@ -85,13 +86,14 @@ def rolling_features(
     """Rolling mean, sample variance and night share over the last `rows` readings of a meter, and
     the share of the meter's peak. `scope="tick"` restarts the windows at every timestamp.
 
-    `hot_rows=None` leaves out the search for hot meters (when none can exist).
+    Inputs of less than four bytes per `hot_rows` rows cannot hold a hot meter worth splitting, and
+    the search for one is left out of the plan; so it is with `hot_rows=None`.
     """
     units = F.rint(F.col("consumption_kwh") * UNITS)
     night = F.when(_is_night(F.hour(time_col)), units).otherwise(F.lit(0e0))
     base = df.withColumns({"_x": units, "_night": night})
     keys = ["meter_id", "_slot"] if scope == "history" else ["meter_id", time_col]
-    split = scope == "history" and hot_rows is not None
+    split = scope == "history" and hot_rows is not None and input_bytes(df) >= 4 * hot_rows
     if split:
         hot = hot_meters(df, time_col, tie, hot_rows)
         key = F.struct(F.col(time_col).alias("t"), F.col(tie).alias("k"))

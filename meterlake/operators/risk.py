@@ -55,32 +55,39 @@ def risk_level(score: Column) -> Column:
     )
 
 
-def score_risk(df: DataFrame, by: str | None = None) -> DataFrame:
+def score_risk(df: DataFrame, by: str | None = None, unit: tuple[str, ...] = ()) -> DataFrame:
     """Add `risk_score`, `risk_level` and `risk_summary`.
 
-    `by=None` normalises over the whole frame, `by="timestamp"` over each tick on its own.
+    `by=None` normalises over the whole frame, `by="timestamp"` over each tick on its own. Columns
+    named in `unit` are known to lie in [0, 1], where normalising changes nothing; their range is not
+    looked for, which spares a second run of whatever computed them.
     """
     parts = {f"_{k}": clip(column_or(df, c), low=0.0) for k, c in INPUTS.items()}
-    work = _with_range(df.withColumns(parts), list(parts), by, "_range")
+    known = {f"_{k}" for k, c in INPUTS.items() if c in unit}
+    theft_parts, other_parts = ("_rf", "_boost", "_theft_raw"), ("_anomaly", "_voltage", "_night")
 
-    def norm(name: str, limits: str = "_range") -> Column:
+    def norm(name: str, limits: str) -> Column:
+        if name in known:
+            return clip(F.col(name), 0.0, 1.0)
         return normalised(F.col(name), F.col(f"{limits}.{name}_lo"), F.col(f"{limits}.{name}_hi"))
 
+    def ranged(frame: DataFrame, names: tuple[str, ...], limits: str) -> DataFrame:
+        wanted = [c for c in names if c not in known]
+        return _with_range(frame, wanted, by, limits) if wanted else frame
+
+    work = ranged(df.withColumns(parts), theft_parts, "_r1")
+    rf, boost, raw = (norm(c, "_r1") for c in theft_parts)
+    work = work.withColumn("_theft", F.lit(0.45) * rf + F.lit(0.55) * boost + F.lit(0.20) * raw)
+    work = ranged(ranged(work, ("_theft",), "_r2"), other_parts, "_r3")
     work = work.withColumns(
-        {
-            "_theft": F.lit(0.45) * norm("_rf") + F.lit(0.55) * norm("_boost") + F.lit(0.20) * norm("_theft_raw"),
-            "_anomaly": norm("_anomaly"),
-            "_voltage": norm("_voltage"),
-            "_night": norm("_night"),
-        }
-    ).drop("_range", "_rf", "_boost", "_theft_raw")
-    work = _with_range(work, ["_theft"], by, "_range").withColumn("_theft", norm("_theft"))
+        {"_theft": norm("_theft", "_r2"), **{c: norm(c, "_r3") for c in other_parts}}
+    )
     weighted = sum((F.lit(w) * F.col(f"_{k}") for k, w in list(WEIGHTS.items())[1:]), F.lit(0.35) * F.col("_anomaly"))
     top = F.greatest(*[F.col(f"_{k}") for k in WEIGHTS])
     summary = F.coalesce(*[F.when(F.col(f"_{k}") == top, F.lit(text)) for k, text in SUMMARIES.items()])
     out = work.withColumns({"risk_score": round_to(weighted * 1e2, 2), "risk_summary": summary})
     return out.withColumn("risk_level", risk_level(F.col("risk_score"))).drop(
-        "_range", *[f"_{k}" for k in WEIGHTS]
+        "_r1", "_r2", "_r3", *theft_parts, *[f"_{k}" for k in WEIGHTS]
     )
 
 

@@ -46,10 +46,16 @@ def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS) -> Column:
     return picked.select(search_index(F.col("bounds"))).scalar()
 
 
+def with_cell(df: DataFrame, value: str, cells: int = CELLS) -> DataFrame:
+    """Add `_cell`, the number of the value range a row falls into."""
+    indexed = df.withColumn("_index", sampled_bounds(df, value, cells))
+    return indexed.withColumn("_cell", cell_of(F.col(value), F.col("_index"))).drop("_index")
+
+
 def running_totals(df: DataFrame, value: str, measures: dict[str, Column], cells: int = CELLS) -> DataFrame:
     """One row per distinct value: each measure, and `cum_<measure>` up to and including that value."""
     grouped = df.where(F.col(value).isNotNull()).groupBy(value).agg(*[m.alias(n) for n, m in measures.items()])
-    celled = grouped.withColumn("_cell", cell_of(F.col(value), sampled_bounds(grouped, value, cells)))
+    celled = with_cell(grouped, value, cells)
     per_cell = celled.groupBy("_cell").agg(*[F.sum(n).alias(n) for n in measures])
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # at most cells + 1 rows
     offsets = per_cell.select(
@@ -72,8 +78,7 @@ def exact_quantile(df: DataFrame, value: str, p: float, cells: int = CELLS) -> D
     Only the cells that hold the two neighbouring ranks are looked at row by row.
     """
     rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    index = sampled_bounds(rows, "_v", cells)
-    celled = rows.withColumn("_cell", cell_of(F.col("_v"), index))
+    celled = with_cell(rows, "_v", cells)
     position = (rows.agg(F.count("_v")).scalar() - 1) * F.lit(float(p))
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # at most cells + 1 rows
     per_cell = (
