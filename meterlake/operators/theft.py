@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import clip, column_or, count_if, order_hash
-from meterlake.plans.ranges import running_totals
+from meterlake.plans.ranges import ranked_by_hash, running_totals
 from meterlake.schema import ANOMALY, NORMAL, THEFT, THEFT_CUT, WASTAGE, WASTAGE_CUT
 
 
@@ -93,30 +93,17 @@ def balanced_sample(df: DataFrame, max_rows: int, label: str = "is_theft", key:
 
 
 def stratified_split(
-    df: DataFrame, test_share: float = 0.2, label: str = "is_theft", key: str = "reading_id", seed: int = 42, hot_cells: int = 4096
+    df: DataFrame, test_share: float = 0.2, label: str = "is_theft", key: str = "reading_id", seed: int = 42
 ) -> DataFrame:
-    """Add `is_test`: per class, the first `test_share` of the rows in seeded hash order.
+    """Add `is_test`: per class, the first `test_share` of the rows in seeded hash order."""
+    ranked = ranked_by_hash(df, label, key, seed)
+    return ranked.withColumn("is_test", (F.col("_rank") <= F.col("_size") * F.lit(test_share)).cast("int")).drop("_rank", "_size")
 
-    Ranks inside a class come from running totals over hash cells, so a class is never one task.
-    """
-    place = order_hash(F.col(key), seed)
-    spread = df.withColumns({"_h": place, "_cell": F.floor(place * F.lit(hot_cells) / F.lit(2147483648)).cast("int")})
-    per_cell = spread.groupBy(label, "_cell").agg(F.count("*").alias("_n"))
-    sofar = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select(
-        F.col(label).alias("_label"),
-        F.col("_cell").alias("_c"),
-        F.coalesce(F.sum("_n").over(sofar), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(label)).alias("_size"),
-    )  # two classes x hot_cells rows
-    within = Window.partitionBy(label, "_cell").orderBy("_h", key)
-    joined = spread.join(
-        F.broadcast(offsets), (F.col(label) == F.col("_label")) & (F.col("_cell") == F.col("_c"))
-    )
-    rank = F.col("_before") + F.row_number().over(within)
-    return joined.withColumn("is_test", (rank <= F.col("_size") * F.lit(test_share)).cast("int")).drop(
-        "_h", "_cell", "_label", "_c", "_before", "_size"
-    )
+
+def block_sample(df: DataFrame, block: str, take: int, key: str = "reading_id", seed: int = 42) -> DataFrame:
+    """At most `take` rows of every block (a group of meters), in seeded hash order."""
+    ranked = ranked_by_hash(df, block, key, seed)
+    return ranked.where(F.col("_rank") <= take).drop("_rank", "_size")
 
 
 def class_weights(df: DataFrame, label: str = "is_theft", weight: str = "class_weight") -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlake.functions.numeric import order_hash
+
 CELLS = 4096
 
 
@@ -35,7 +37,7 @@ def cell_of(value: Column, index: Column, fan: int = 64) -> Column:
 
 
 def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS) -> Column:
-    """Search index over about `cells` distinct values, as a one-value subquery."""
+    """Search index over a hash sample of about `cells` values, as a one-value subquery."""
     total = df.agg(F.count(value).alias("n")).scalar()
     rate = F.greatest(F.lit(1), F.floor(total / F.lit(cells)))
     picked = (
@@ -46,29 +48,75 @@ def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS) -> Column:
     return picked.select(search_index(F.col("bounds"))).scalar()
 
 
-def with_cell(df: DataFrame, value: str, cells: int = CELLS) -> DataFrame:
+def sampled_bounds_by(df: DataFrame, value: str, by: str, cells: int = CELLS) -> DataFrame:
+    """The same per group of `by`: one row per group (`_by`, `_index`). For few groups only."""
+    known = df.where(F.col(value).isNotNull())
+    rates = known.groupBy(F.col(by).alias("_by")).agg(F.greatest(F.lit(1), F.floor(F.count("*") / F.lit(cells))).alias("_rate"))
+    return (
+        known.join(F.broadcast(rates), F.col(by) == F.col("_by"))
+        .where(F.pmod(F.xxhash64(value), F.col("_rate")) == 0)
+        .groupBy("_by")
+        .agg(search_index(F.sort_array(F.collect_set(value))).alias("_index"))
+    )
+
+
+def with_cell(df: DataFrame, value: str, cells: int = CELLS, by: str | None = None) -> DataFrame:
     """Add `_cell`, the number of the value range a row falls into."""
-    indexed = df.withColumn("_index", sampled_bounds(df, value, cells))
+    if by is None:
+        indexed = df.withColumn("_index", sampled_bounds(df, value, cells))
+    else:
+        indexed = df.join(F.broadcast(sampled_bounds_by(df, value, by, cells)), F.col(by) == F.col("_by")).drop("_by")
     return indexed.withColumn("_cell", cell_of(F.col(value), F.col("_index"))).drop("_index")
 
 
-def running_totals(df: DataFrame, value: str, measures: dict[str, Column], cells: int = CELLS) -> DataFrame:
-    """One row per distinct value: each measure, and `cum_<measure>` up to and including that value."""
-    grouped = df.where(F.col(value).isNotNull()).groupBy(value).agg(*[m.alias(n) for n, m in measures.items()])
-    celled = with_cell(grouped, value, cells)
-    per_cell = celled.groupBy("_cell").agg(*[F.sum(n).alias(n) for n in measures])
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # at most cells + 1 rows
+def running_totals(
+    df: DataFrame, value: str, measures: dict[str, Column], cells: int = CELLS, by: str | None = None
+) -> DataFrame:
+    """One row per distinct value: each measure, and `cum_<measure>` up to and including that value.
+
+    `by` names an optional column of few groups (columns of a table, classes) to be kept apart.
+    """
+    keys = [] if by is None else [by]
+    grouped = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[m.alias(n) for n, m in measures.items()])
+    celled = with_cell(grouped, value, cells, by)
+    per_cell = celled.groupBy(*keys, "_cell").agg(*[F.sum(n).alias(n) for n in measures])
+    # At most cells + 1 rows per group.
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_cell.select(
+        *keys, "_cell", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in measures]
+    )
+    within = Window.partitionBy(*keys, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return celled.join(F.broadcast(offsets), [*keys, "_cell"]).select(
+        *keys,
+        value,
+        *measures,
+        *[(F.sum(n).over(within) + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in measures],
+    )
+
+
+def ranked_by_hash(df: DataFrame, by: str, key: str, seed: int = 42, cells: int = 4096) -> DataFrame:
+    """Add `_rank` (from 1, in seeded hash order) and `_size` of the row's group.
+
+    Every group is spread over hash cells; ranks are offsets of the cell plus a rank inside it, so
+    the biggest group is never sorted in one task.
+    """
+    place = order_hash(F.col(key), seed)
+    spread = df.withColumn("_h", place).withColumn(
+        "_cell", F.floor(F.col("_h") * F.lit(cells) / F.lit(2147483648)).cast("int")
+    )
+    per_cell = spread.groupBy(by, "_cell").agg(F.count("*").alias("_n"))
+    sofar = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(
-        "_cell", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in measures]
+        by,
+        "_cell",
+        F.coalesce(F.sum("_n").over(sofar), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(by)).alias("_size"),
     )
-    within = Window.partitionBy("_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(by, "_cell").orderBy("_h", key)
     return (
-        celled.join(F.broadcast(offsets), "_cell")
-        .select(
-            value,
-            *measures,
-            *[(F.sum(n).over(within) + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in measures],
-        )
+        spread.join(offsets, [by, "_cell"])
+        .withColumn("_rank", F.col("_before") + F.row_number().over(within))
+        .drop("_h", "_cell", "_before")
     )
 
 
