@@ -150,6 +150,36 @@ def _source(spark, folder):
     return segments.clustering_source(history, recent).select("reading_id", "meter_id", "consumption_kwh", "anomaly_score")
 
 
+def _near(a: str, b: str) -> str:
+    return " + ".join(f"({a}.z_{c} - {b}.z_{c}) * ({a}.z_{c} - {b}.z_{c})" for c in PROFILE_FEATURES) + " <= 1.15e0 * 1.15e0"
+
+
+# Plain self-join and transitive closure: quadratic, which is why the operator does not work this way.
+DBSCAN = (
+    ZSCORES
+    + f"""
+, sized AS (SELECT greatest(2, least(4, count(*) // 3)) AS m FROM z)
+, nb AS (SELECT a.meter_id AS a, b.meter_id AS b FROM z a JOIN z b ON {_near('a', 'b')})
+, core AS (SELECT a AS id FROM nb, sized GROUP BY a, m HAVING count(*) >= m)
+, ce AS (SELECT a, b FROM nb WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core))
+, reach AS (SELECT a, b FROM ce UNION SELECT r.a, e.b FROM reach r JOIN ce e ON r.b = e.a)
+, roots AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a)
+, numbers AS (SELECT id, cast(dense_rank() OVER (ORDER BY root) - 1 AS int) AS number FROM roots)
+, border AS (SELECT nb.a AS id, min(number) AS number FROM nb JOIN numbers n ON nb.b = n.id GROUP BY nb.a)
+SELECT z.meter_id, coalesce(n.number, b.number, -1) AS dbscan_cluster, CASE WHEN n.id IS NULL THEN 0 ELSE 1 END AS is_core
+FROM z LEFT JOIN numbers n ON z.meter_id = n.id LEFT JOIN border b ON z.meter_id = b.id"""
+)
+
+
+@query("dbscan_clusters", over_features(DBSCAN).replace("WITH ", "WITH RECURSIVE ", 1))
+def _dbscan(spark, folder):
+    from meterlake.operators.dbscan import dbscan
+    from meterlake.plans.session import cut_lineage
+
+    z = cut_lineage(segments.standardise(profile(spark, folder)))
+    return dbscan(z, [f"z_{c}" for c in PROFILE_FEATURES], "meter_id")
+
+
 @query("kmeans_segments")
 def _kmeans(spark, folder):
     return segments.cluster_consumers(classify(flagged(features(spark, folder)))).select(

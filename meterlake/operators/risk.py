@@ -25,25 +25,35 @@ INPUTS = {
 }
 
 
-def normalised(value: Column, low: Column, high: Column) -> Column:
-    """Values stay as they are up to a maximum of 1; beyond it they are rescaled to [0, 1]."""
+def _scale(low: Column, high: Column) -> tuple[Column, Column]:
+    """What to subtract and divide by: nothing up to a maximum of 1, everything (an infinite divisor)
+    where minimum and maximum agree, and the range otherwise."""
     same = F.abs(high - low) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(low)
-    scaled = clip((value - low) / F.nullif(high - low, F.lit(0e0)), 0.0, 1.0)
-    return F.when(high <= 1e0, clip(value, 0.0, 1.0)).when(same, F.lit(0e0)).otherwise(scaled)
+    within = high <= 1e0
+    shift = F.when(within, F.lit(0e0)).otherwise(low)
+    span = F.when(within, F.lit(1e0)).when(same, F.lit(float("inf"))).otherwise(high - low)
+    return shift, span
 
 
-def _with_range(df: DataFrame, columns: list[str], by: str | None, name: str) -> DataFrame:
-    """Attach min and max of `columns` over the whole frame or per group of `by`.
+def normalised(value: Column, scale: Column, name: str) -> Column:
+    """Rescaled to [0, 1]; the value occurs once, so nested uses do not multiply in the plan."""
+    return clip((value - scale[f"{name}_shift"]) / scale[f"{name}_span"], 0.0, 1.0)
 
-    The whole-frame range is a subquery of one row. Per group it is an equi-join with an aggregate
+
+def _with_scale(df: DataFrame, columns: list[str], by: str | None, name: str) -> DataFrame:
+    """Attach the scaling of `columns` over the whole frame or per group of `by`.
+
+    For the whole frame it is a subquery of one row. Per group it is an equi-join with an aggregate
     that holds one row per group; adaptive execution broadcasts it only if it turns out small.
     """
-    limits = F.struct(
-        *[F.min(c).alias(f"{c}_lo") for c in columns], *[F.max(c).alias(f"{c}_hi") for c in columns]
-    ).alias(name)
+    parts = []
+    for c in columns:
+        shift, span = _scale(F.min(c), F.max(c))
+        parts += [shift.alias(f"{c}_shift"), span.alias(f"{c}_span")]
+    scale = F.struct(*parts).alias(name)
     if by is None:
-        return df.withColumn(name, df.agg(limits).scalar())
-    return df.join(df.groupBy(by).agg(limits), by)
+        return df.withColumn(name, df.agg(scale).scalar())
+    return df.join(df.groupBy(by).agg(scale), by)
 
 
 def risk_level(score: Column) -> Column:
@@ -66,14 +76,14 @@ def score_risk(df: DataFrame, by: str | None = None, unit: tuple[str, ...] = ())
     known = {f"_{k}" for k, c in INPUTS.items() if c in unit}
     theft_parts, other_parts = ("_rf", "_boost", "_theft_raw"), ("_anomaly", "_voltage", "_night")
 
-    def norm(name: str, limits: str) -> Column:
+    def norm(name: str, scale: str) -> Column:
         if name in known:
             return clip(F.col(name), 0.0, 1.0)
-        return normalised(F.col(name), F.col(f"{limits}.{name}_lo"), F.col(f"{limits}.{name}_hi"))
+        return normalised(F.col(name), F.col(scale), name)
 
-    def ranged(frame: DataFrame, names: tuple[str, ...], limits: str) -> DataFrame:
+    def ranged(frame: DataFrame, names: tuple[str, ...], scale: str) -> DataFrame:
         wanted = [c for c in names if c not in known]
-        return _with_range(frame, wanted, by, limits) if wanted else frame
+        return _with_scale(frame, wanted, by, scale) if wanted else frame
 
     work = ranged(df.withColumns(parts), theft_parts, "_r1")
     rf, boost, raw = (norm(c, "_r1") for c in theft_parts)

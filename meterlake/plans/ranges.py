@@ -127,25 +127,27 @@ def exact_quantile(df: DataFrame, value: str, p: float, cells: int = CELLS) -> D
     """
     rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     celled = with_cell(rows, "_v", cells)
-    position = (rows.agg(F.count("_v")).scalar() - 1) * F.lit(float(p))
+    total = rows.agg(F.count("_v")).scalar()
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # at most cells + 1 rows
     per_cell = (
         celled.groupBy("_cell")
         .agg(F.count("_v").alias("n"))
         .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .where((F.col("before") <= F.ceil(position)) & (F.col("before") + F.col("n") > F.floor(position)))
+        .withColumn("pos", (total - 1) * F.lit(float(p)))
+        .where((F.col("before") <= F.ceil("pos")) & (F.col("before") + F.col("n") > F.floor("pos")))
     )
     wanted = (
-        celled.join(F.broadcast(per_cell.select("_cell", "before")), "_cell")
-        .groupBy("_cell", "before", "_v")
+        celled.join(F.broadcast(per_cell.select("_cell", "before", "pos")), "_cell")
+        .groupBy("_cell", "before", "pos", "_v")
         .agg(F.count("*").alias("n"))
     )
     upto = Window.partitionBy("_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = wanted.withColumn("upto", F.col("before") + F.sum("n").over(upto))
-    at = lambda rank: F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("_v")))
-    ends = ranked.agg(
-        at(F.floor(position)).alias("lo"), at(F.ceil(position)).alias("hi"), F.max(position).alias("pos")
-    )
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("_v")))
+
+    ends = ranked.agg(at(F.floor("pos")).alias("lo"), at(F.ceil("pos")).alias("hi"), F.max("pos").alias("pos"))
     return ends.select(
         (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("quantile")
     )
