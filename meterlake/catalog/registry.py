@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterlake.catalog import cleaning, insight, models, rollups, scoring, sources  # noqa: F401
+from meterlake.catalog import cleaning, insight, models, rollups, scoring, sources, streams  # noqa: F401
 from meterlake.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -69,9 +69,8 @@ def _forest(sizes: ModelSizes, label: str, seed: int) -> RandomForestClassifier:
 def _boost(sizes: ModelSizes, label: str, seed: int) -> GBTClassifier:
     return GBTClassifier(
         labelCol=label, featuresCol="features", maxIter=sizes.boost_rounds, maxDepth=sizes.boost_depth,
-        stepSize=sizes.boost_rate, subsamplingRate=0.85, featureSubsetStrategy="0.9", seed=seed,
-        probabilityCol="boost_p", predictionCol="boost_y", rawPredictionCol="boost_raw",
-    )
+        stepSize=sizes.boost_rate, subsamplingRate=0.85, featureSubsetStrategy="0.9", seed=seed, predictionCol="boost_y",
+    ).setProbabilityCol("boost_p").setRawPredictionCol("boost_raw")
 
 
 def positive(col: str) -> Column:
@@ -187,7 +186,7 @@ def load_models(spark: SparkSession, path: str) -> DetectionModels:
 def tree_nodes(spark: SparkSession, boost_path: str) -> pd.DataFrame:
     """Node table of stored boosted trees: bounded by rounds x 2^(depth + 1) rows."""
     data = spark.read.parquet(f"{boost_path}/data")
-    weights = spark.read.parquet(f"{boost_path}/treesMetadata").select(F.col("treeID").alias("tree"), "weights")
+    weights = spark.read.parquet(f"{boost_path}/treesMetadata").toDF("tree", "about", "weights").select("tree", "weights")
     nodes = data.select(
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),

@@ -68,13 +68,14 @@ def whole(col: Column) -> Column:
     return col.cast("double")
 
 
-def meter_readings(spark: SparkSession, folder: str) -> DataFrame:
+def meter_readings(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """The canonical readings table, with bound model scores for score-dependent operators.
 
     `timestamp` is the event time, `tick` the hour it falls into, `reading_id` the unique key.
+    `events` may be a stream of the events table; the catalog stays a static side.
     """
     catalog = meter_catalog(spark, folder)
-    events = table(spark, folder, "events")
+    events = table(spark, folder, "events") if events is None else events
     e = F.col("event_id")
     k = whole(F.get_json_object("props", "$.k").cast("int"))
 
