@@ -101,6 +101,7 @@ def run_rolling_features(
     columns = ["meter_id", time_col, tie, "consumption_kwh"]
 
     def advance(batch: DataFrame, number: int) -> None:
+        batch.persist()
         new = batch.select(*columns, F.lit(True).alias("_new"), F.lit(None).cast("double").alias("_peak"))
         known = new if number == 0 else new.unionByName(spark.read.parquet(f"{folder}/memory/batch={number - 1}").withColumn("_new", F.lit(False)))
         peaks = known.groupBy("meter_id").agg(F.max(F.greatest("_peak", "consumption_kwh")).alias("_peak"))
@@ -114,6 +115,7 @@ def run_rolling_features(
             known.drop("_peak").withColumn("_nth", F.row_number().over(back)).where(F.col("_nth") < WINDOW_ROWS).join(peaks, "meter_id")
         )
         memory.select(*columns, "_peak").write.mode("overwrite").parquet(f"{folder}/memory/batch={number}")
+        batch.unpersist()
 
     _start(df.select(*columns), advance, f"{folder}/rolled-progress").awaitTermination()
     return spark.read.parquet(f"{folder}/rolled").drop("batch")
