@@ -9,7 +9,6 @@ round by round. However many points share a cell, it takes part as one box or a
 
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +18,10 @@ from meterlake.plans.ranges import running_totals
 from meterlake.plans.session import cut_lineage
 
 
+# Pairs of boxes with at most this many pairs of points are decided point by point.
+PAIR_LIMIT = 4096
+
+
 def _boxes(points: DataFrame, keys: list, dims: list[str]) -> DataFrame:
     """Tight bounding box, count and smallest id of every group of points."""
     return points.groupBy(*keys).agg(
@@ -143,43 +146,46 @@ def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_p
     )
     units = cut_lineage(_boxes(points, ["unit", "dense", "cell"], dims).drop("first_id"))
 
-    # Round 0: whole units. `inside` counts are (points of a, points of b) known to be within eps.
-    pairs = cut_lineage(_candidate_pairs(units, d, eps, math.ceil(math.sqrt(d))))
-    decided = pairs.withColumn("full", _farthest(d) <= limit)
-    near = decided.where("full").select("a_unit", "b_unit", "a_dense", "b_dense", F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
-    open_pairs = decided.where(~F.col("full")).withColumns(
-        {"a_key": F.col("a_cell"), "b_key": F.col("b_cell")}
-    ).select("a_unit", "b_unit", "a_dense", "b_dense", "a_key", "b_key")
-    near, open_pairs = cut_lineage(near), cut_lineage(_still_needed(open_pairs, near, units, min_points))
-
-    for level in itertools.count(1):
-        if open_pairs.limit(1).count() == 0:
-            break
-        fine = side / 2**level
-        needed = open_pairs.select(F.col("a_unit").alias("unit")).unionByName(open_pairs.select(F.col("b_unit").alias("unit"))).distinct()
-        inner = points.join(needed, "unit", "left_semi").withColumns(
-            {"key": _grid(dims, side / 2 ** (level - 1)), "child": _grid(dims, fine)}
-        )
-        children = _boxes(inner, ["unit", "key", "child"], dims).drop("first_id")
-        split = (
-            open_pairs.join(_side(children, "a"), ["a_unit", "a_key"])
-            .join(_side(children, "b"), ["b_unit", "b_key"])
-            .where(_nearest(d) <= limit)
-            .withColumn("full", _farthest(d) <= limit)
-            .select("a_unit", "b_unit", "a_dense", "b_dense", "a_child", "b_child", "a_n", "b_n", "full")
-        )
-        split = cut_lineage(split)
-        found = split.where("full").select(
-            "a_unit", "b_unit", "a_dense", "b_dense", F.col("a_n").alias("na"), F.col("b_n").alias("nb")
+    # Round 0: whole units. `na`, `nb` count points of either side known to be within eps of the other.
+    pairs = cut_lineage(_candidate_pairs(units, d, eps, math.ceil(math.sqrt(d))).withColumn("full", _farthest(d) <= limit))
+    sides = ["a_unit", "b_unit"]
+    near = pairs.where("full").select(*sides, F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
+    undecided = pairs.where(~F.col("full")).select(
+        *sides, F.col("a_cell").alias("a_key"), F.col("b_cell").alias("b_key"), "a_n", "b_n"
+    )
+    level = 0
+    while undecided.limit(1).count() > 0:
+        undecided = cut_lineage(_still_needed(undecided, near, units, min_points))
+        here = points.withColumn("key", _grid(dims, side / 2**level))
+        level += 1
+        finer = here.withColumn("child", _grid(dims, side / 2**level))
+        small = F.col("a_n") * F.col("b_n") <= PAIR_LIMIT
+        ends = undecided.select(F.explode(F.array("a_unit", "b_unit")).alias("unit"), small.alias("small"))
+        singles = here.join(ends.where("small").select("unit").distinct(), "unit", "left_semi").select(
+            "unit", "key", F.lit(1).cast("bigint").alias("n"), F.array(*dims).alias("lo"), F.array(*dims).alias("hi"),
+            F.lit(None).cast("array<bigint>").alias("child"),
         )
-        near = cut_lineage(
-            near.unionByName(found).groupBy("a_unit", "b_unit", "a_dense", "b_dense").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
+        boxes = _boxes(
+            finer.join(ends.where(~F.col("small")).select("unit").distinct(), "unit", "left_semi"), ["unit", "key", "child"], dims
+        ).drop("first_id")
+
+        def split(open_pairs: DataFrame, inner: DataFrame) -> DataFrame:
+            return (
+                open_pairs.select(*sides, "a_key", "b_key")
+                .join(_side(inner, "a"), ["a_unit", "a_key"])
+                .join(_side(inner, "b"), ["b_unit", "b_key"])
+                .where(_nearest(d) <= limit)
+                .select(*sides, "a_child", "b_child", "a_n", "b_n", (_farthest(d) <= limit).alias("full"))
+            )
+
+        parts = cut_lineage(
+            split(undecided.where(small), singles).unionByName(split(undecided.where(~small), boxes))
         )
-        rest = split.where(~F.col("full")).select(
-            "a_unit", "b_unit", "a_dense", "b_dense", F.col("a_child").alias("a_key"), F.col("b_child").alias("b_key")
+        found = parts.where("full").select(*sides, F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
+        near = cut_lineage(near.unionByName(found).groupBy(*sides).agg(F.sum("na").alias("na"), F.sum("nb").alias("nb")))
+        undecided = parts.where(~F.col("full")).select(
+            *sides, F.col("a_child").alias("a_key"), F.col("b_child").alias("b_key"), "a_n", "b_n"
         )
-        open_pairs = cut_lineage(_still_needed(rest, near, units, min_points))
-
     return _labels(points, units, near, min_points).withColumnRenamed("id", key)
 
 
@@ -205,8 +211,6 @@ def _still_needed(open_pairs: DataFrame, near: DataFrame, units: DataFrame, min_
     """Undecided pairs that can still change something: not those of two core units which are already
     near, or already in one component by way of others."""
     cores = cut_lineage(_cores(units, near, min_points))
-    if open_pairs.limit(1).count() == 0:
-        return open_pairs
     labels = connected_components(cores, _core_edges(near, cores))
     a = labels.select(F.col("unit").alias("a_unit"), F.col("label").alias("_la"))
     b = labels.select(F.col("unit").alias("b_unit"), F.col("label").alias("_lb"))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import column_or, ratio
-from meterlake.plans.ranges import cell_of, search_index
 from meterlake.plans.size import input_bytes
 from meterlake.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 
@@ -47,32 +46,61 @@ def electrical_features(df: DataFrame) -> DataFrame:
     )
 
 
-def hot_meters(df: DataFrame, time_col: str, tie: str, hot_rows: int) -> DataFrame:
-    """Meters too big for one task: their peak and an index of slot bounds over (time, key).
+SLOT_LEVELS = ("_s1", "_s2", "_s3")
 
-    Hot means more than `hot_rows` rows and more than 1/20000 of all rows, so there are at most
-    20 000 such meters; together they get at most about 80 000 bounds, which is safe to broadcast.
-    """
-    counts = df.groupBy("meter_id").agg(F.count("*").alias("_n"), F.max("consumption_kwh").alias("_peak"))
-    share = (counts.agg(F.sum("_n")).scalar() / 20_000).cast("bigint")
-    hot = counts.where(F.col("_n") > F.greatest(share, F.lit(hot_rows)))
-    slot_rows = F.greatest(F.lit(max(1, hot_rows // 4)), F.floor(F.col("_n") / 4096))
-    key = F.struct(F.col(time_col).alias("t"), F.col(tie).alias("k"))
-    bounds = (
-        df.select("meter_id", time_col, tie)
-        .join(F.broadcast(hot.select("meter_id", slot_rows.alias("_rate"))), "meter_id")
-        .where(F.pmod(F.xxhash64("meter_id", time_col, tie), F.col("_rate")) == 0)
-        .groupBy("meter_id")
-        .agg(F.sort_array(F.collect_list(key)).alias("_bounds"))
-    )
-    return hot.join(bounds, "meter_id", "left").select(
-        "meter_id", "_peak", search_index(F.coalesce("_bounds", F.array().cast(_bounds_type(df, time_col, tie)))).alias("_index")
-    )
 
+def place_in_slots(df: DataFrame, time_col: str, tie: str, hot_rows: int) -> DataFrame:
+    """Cut the series of meters too big for one task into slots, in three levels (`SLOT_LEVELS`).
 
-def _bounds_type(df: DataFrame, time_col: str, tie: str) -> str:
-    kinds = dict(df.dtypes)
-    return f"array<struct<t:{kinds[time_col]},k:{kinds[tie]}>>"
+    Level one cuts a hot meter's time span into equal parts; a part that is still too big (a burst)
+    is cut again by its own span, and one that is a single instant (copies) by its keys. A row finds
+    its slot by arithmetic on a few numbers of its meter or part. Slots are numbered in the order of
+    (time, key), everything else is slot 0.
+
+    Hot means more than `hot_rows` rows and more than 1/20000 of all rows, so no level broadcasts
+    more than 20 000 rows.
+    """
+    stamp = F.unix_micros(F.col(time_col).cast("timestamp"))
+    out = df.withColumns({"_hot": F.lit(False), "_peak": F.lit(None).cast("double"), **{c: F.lit(0) for c in SLOT_LEVELS}})
+    keys: list[str] = ["meter_id"]
+    share = None
+    for level in SLOT_LEVELS:
+        rows = out if level == SLOT_LEVELS[0] else out.where("_hot")
+        counts = rows.groupBy(*keys).agg(
+            F.count("*").alias("_n"), F.max("consumption_kwh").alias("_top"),
+            F.min(stamp).alias("_t0"), F.max(stamp).alias("_t1"), F.min(tie).alias("_k0"), F.max(tie).alias("_k1"),
+        )
+        if share is None:
+            share = (counts.agg(F.sum("_n")).scalar() / 20_000).cast("bigint")
+        instant = F.col("_t0") == F.col("_t1")
+        big = counts.where(F.col("_n") > F.greatest(share, F.lit(hot_rows))).select(
+            *keys,
+            "_top",
+            instant.alias("_by_key"),
+            F.when(instant, F.col("_k0").try_cast("double")).otherwise(F.col("_t0").cast("double")).alias("_from"),
+            F.greatest(
+                F.when(instant, F.col("_k1").try_cast("double") - F.col("_k0").try_cast("double")).otherwise(
+                    (F.col("_t1") - F.col("_t0")).cast("double")
+                ),
+                F.lit(1e0),
+            ).alias("_span"),
+            F.least(F.ceil(F.col("_n") * 4 / F.lit(hot_rows)), F.lit(4096)).cast("double").alias("_parts"),
+        )
+        at = F.when(F.col("_by_key"), F.col(tie).try_cast("double")).otherwise(stamp.cast("double"))
+        part = F.least(F.floor((at - F.col("_from")) / F.col("_span") * F.col("_parts")), F.col("_parts") - 1).cast("int")
+        out = (
+            out.join(F.broadcast(big), keys, "left")
+            .withColumns(
+                {
+                    level: F.coalesce(part, F.lit(0)),
+                    "_hot": F.col("_hot") | F.col("_from").isNotNull(),
+                    "_peak": F.coalesce("_peak", "_top"),
+                }
+            )
+            .drop("_top", "_by_key", "_from", "_span", "_parts")
+        )
+        keys.append(level)
+    return out
 
 
 def rolling_features(
@@ -92,16 +120,13 @@ def rolling_features(
     units = F.rint(F.col("consumption_kwh") * UNITS)
     night = F.when(_is_night(F.hour(time_col)), units).otherwise(F.lit(0e0))
     base = df.withColumns({"_x": units, "_night": night})
-    keys = ["meter_id", "_slot"] if scope == "history" else ["meter_id", time_col]
     split = scope == "history" and hot_rows is not None and input_bytes(df) >= 4 * hot_rows
     if split:
-        hot = hot_meters(df, time_col, tie, hot_rows)
-        key = F.struct(F.col(time_col).alias("t"), F.col(tie).alias("k"))
-        placed = base.join(F.broadcast(hot), "meter_id", "left").withColumn(
-            "_slot", F.when(F.col("_index").isNull(), F.lit(0)).otherwise(cell_of(key, F.col("_index")))
-        )
+        keys = ["meter_id", *SLOT_LEVELS]
+        placed = place_in_slots(base, time_col, tie, hot_rows)
     else:
-        placed = base.withColumns({"_slot": F.lit(0), "_peak": F.lit(None).cast("double")})
+        keys = ["meter_id"] if scope == "history" else ["meter_id", time_col]
+        placed = base.withColumn("_peak", F.lit(None).cast("double"))
 
     ordered = Window.partitionBy(*keys).orderBy(time_col, tie)
     recent = ordered.rowsBetween(-(rows - 1), 0)
@@ -127,29 +152,31 @@ def rolling_features(
             "night_usage_ratio": ratio(sn, F.nullif(sx, F.lit(0e0))),
         }
     )
-    return out.drop("_x", "_night", "_slot", "_peak", "_index", "_n", "_sx", "_sxx", "_sn", "_top")
+    return out.drop("_x", "_night", "_hot", "_peak", *SLOT_LEVELS, "_n", "_sx", "_sxx", "_sn", "_top")
 
 
 def _with_rows_before_slot(out: DataFrame, placed: DataFrame, ordered, time_col: str, tie: str, rows: int) -> DataFrame:
     """Add to the first rows of a slot what the window still misses from the slots before it."""
     need = rows - 1
-    backwards = Window.partitionBy("meter_id", "_slot").orderBy(F.desc(time_col), F.desc(tie))
+    slot = ["meter_id", *SLOT_LEVELS]
+    backwards = Window.partitionBy(*slot).orderBy(F.desc(time_col), F.desc(tie))
     tails = (
-        placed.where(F.col("_index").isNotNull())
-        .select("meter_id", "_slot", time_col, tie, "_x", "_night")
+        placed.where("_hot")
+        .select(*slot, time_col, tie, "_x", "_night")
         .withColumn("_back", F.row_number().over(backwards))
         .where(F.col("_back") <= need)
     )
-    # At most 4096 slots x `need` rows per meter from here on.
+    # From here on a meter has `need` rows per slot at most, however many readings.
     history = Window.partitionBy("meter_id").orderBy(time_col, tie).rowsBetween(-(need - 1), 0)
+    following = Window.partitionBy("meter_id").orderBy(*SLOT_LEVELS)
     halo = (
         tails.withColumn("_prior", F.collect_list(F.struct(F.col("_x").alias("x"), F.col("_night").alias("n"))).over(history))
         .where(F.col("_back") == 1)
-        .withColumn("_next", F.lead("_slot").over(Window.partitionBy("meter_id").orderBy("_slot")))
+        .withColumn("_next", F.lead(F.struct(*SLOT_LEVELS)).over(following))
         .where(F.col("_next").isNotNull())
-        .select("meter_id", F.col("_next").alias("_slot"), "_prior")
+        .select("meter_id", *[F.col(f"_next.{c}").alias(c) for c in SLOT_LEVELS], "_prior")
     )
-    joined = out.withColumn("_pos", F.row_number().over(ordered)).join(halo, ["meter_id", "_slot"], "left")
+    joined = out.withColumn("_pos", F.row_number().over(ordered)).join(halo, slot, "left")
     missing = F.least(F.lit(rows) - F.col("_pos"), F.size("_prior"))
     used = F.slice("_prior", F.size("_prior") - missing + 1, missing)
     short = F.col("_prior").isNotNull() & (F.col("_pos") < rows)

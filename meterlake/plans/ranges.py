@@ -3,11 +3,14 @@
 A rank, a running total or an exact quantile needs all rows in order, and an unpartitioned window
 would pull them into one task. Here the values are cut into cells by bounds taken from a hash
 sample; each cell is ordered on its own and the per-cell totals (a few thousand rows at most) give
-the offsets. The sample is picked by the hash of the value, so every evaluation sees the same bounds.
+the offsets. The bounds, about `cells` values, are drawn when the plan is built, as Spark itself does
+for a global sort; they decide how even the cells are, never what the result is.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,57 +19,38 @@ from meterlake.functions.numeric import order_hash
 CELLS = 4096
 
 
-def search_index(bounds: Column, fan: int = 64) -> Column:
-    """Two-level index over a sorted array, so a lookup costs about 2 * fan comparisons."""
-    blocks = F.ceil(F.size(bounds) / F.lit(fan)).cast("int")
-    fine = F.when(
-        blocks > 0,
-        F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.slice(bounds, i * fan + 1, F.lit(fan))),
-    )
-    return F.struct(
-        F.filter(bounds, lambda _, i: i % fan == 0).alias("coarse"),
-        fine.alias("fine"),
-    )
-
-
-def cell_of(value: Column, index: Column, fan: int = 64) -> Column:
-    """How many of the indexed bounds are <= value."""
-    block = F.size(F.filter(index["coarse"], lambda b: b <= value))
-    inside = F.size(F.filter(F.element_at(index["fine"], block), lambda b: b <= value))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * fan + inside)
-
-
-def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS) -> Column:
-    """Search index over a hash sample of about `cells` values, as a one-value subquery."""
-    total = df.agg(F.count(value).alias("n")).scalar()
-    rate = F.greatest(F.lit(1), F.floor(total / F.lit(cells)))
-    picked = (
-        df.where(F.col(value).isNotNull())
-        .where(F.pmod(F.xxhash64(value), rate) == 0)
-        .agg(F.sort_array(F.collect_set(value)).alias("bounds"))
-    )
-    return picked.select(search_index(F.col("bounds"))).scalar()
-
-
-def sampled_bounds_by(df: DataFrame, value: str, by: str, cells: int = CELLS) -> DataFrame:
-    """The same per group of `by`: one row per group (`_by`, `_index`). For few groups only."""
-    known = df.where(F.col(value).isNotNull())
-    rates = known.groupBy(F.col(by).alias("_by")).agg(F.greatest(F.lit(1), F.floor(F.count("*") / F.lit(cells))).alias("_rate"))
-    return (
-        known.join(F.broadcast(rates), F.col(by) == F.col("_by"))
-        .where(F.pmod(F.xxhash64(value), F.col("_rate")) == 0)
-        .groupBy("_by")
-        .agg(search_index(F.sort_array(F.collect_set(value))).alias("_index"))
-    )
+def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS, by: str | None = None) -> dict:
+    """Sorted hash sample of about `cells` distinct values, per group of `by` (few groups) if given."""
+    group = F.lit(0) if by is None else F.col(by)
+    known = df.where(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).alias("v"))
+    rates = {r.g: max(1, r.n // cells) for r in known.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    if not rates:
+        return {}
+    rate = F.coalesce(*[F.when(F.col("g") == g, F.lit(n)) for g, n in rates.items()])
+    picked = known.where(F.pmod(F.xxhash64("v"), rate) == 0).distinct().collect()
+    return {g: sorted(r.v for r in picked if r.g == g) for g in rates}
 
 
 def with_cell(df: DataFrame, value: str, cells: int = CELLS, by: str | None = None) -> DataFrame:
-    """Add `_cell`, the number of the value range a row falls into."""
-    if by is None:
-        indexed = df.withColumn("_index", sampled_bounds(df, value, cells))
-    else:
-        indexed = df.join(F.broadcast(sampled_bounds_by(df, value, by, cells)), F.col(by) == F.col("_by")).drop("_by")
-    return indexed.withColumn("_cell", cell_of(F.col(value), F.col("_index"))).drop("_index")
+    """Add `_cell`, the number of the value range a row falls into: a binary search per row."""
+    bounds = sampled_bounds(df, value, cells, by)
+    if by is None and dict(df.dtypes)[value] == "double":
+        from pyspark.ml.feature import Bucketizer
+
+        inner = [b for b in bounds.get(0, []) if np.isfinite(b)] or [0.0]
+        search = Bucketizer(splits=[-np.inf, *inner, np.inf], inputCol=value, outputCol="_cell", handleInvalid="keep")
+        return search.transform(df).withColumn("_cell", F.col("_cell").cast("int"))
+    shared = df.sparkSession.sparkContext.broadcast({g: np.array(b, dtype=object if isinstance(b[0], str) else None) for g, b in bounds.items() if b})
+
+    @F.pandas_udf("int")
+    def place(group: pd.Series, values: pd.Series) -> pd.Series:
+        out = np.zeros(len(values), dtype=np.int32)
+        for g, known in shared.value.items():
+            here = (group == g).to_numpy()
+            out[here] = np.searchsorted(known, values[here].to_numpy(), side="right")
+        return pd.Series(out)
+
+    return df.withColumn("_cell", place(F.lit(0) if by is None else F.col(by), F.col(value)))
 
 
 def running_totals(
