@@ -534,7 +534,9 @@ def _counts(spark, folder):
 
 @query("insight_rows")
 def _insights(spark, folder):
-    df = scored(spark, folder)
+    from meterlake.plans.session import cut_lineage
+
+    df = cut_lineage(scored(spark, folder))
     area, worst = rollups.consumption_by_area(df).limit(1), risk.risk_by_area(df).limit(1)
     series = forecast.demand_series(df)
     facts = efficiency.efficiency_summary(df).select("low_efficiency", F.col("estimated_losses_kwh").alias("losses"))

@@ -89,32 +89,32 @@ def duplicate_keys(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
 
 def drift_report(reference: DataFrame, current: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """The whole comparison as one flat row; the overall flag looks at every feature and issue."""
-    shifted = mean_shift(reference, current).agg(F.coalesce(F.bool_or("drift_detected"), F.lit(False))).scalar()
-    listed = mean_shift(reference, current).agg(count_if(F.col("drift_detected"))).scalar()
+    shifts = mean_shift(reference, current).agg(
+        F.struct(F.coalesce(F.bool_or("drift_detected"), F.lit(False)).alias("any"), count_if(F.col("drift_detected")).alias("n")).alias("s")
+    )
     repeats = duplicate_keys(current, time_col).limit(1).agg(F.count("*") > 0).scalar()
-    old, new = missing_pct(reference), missing_pct(current)
+    old = missing_pct(reference).select("missing_pct").scalar()
+    new = missing_pct(current).select(F.struct("missing_pct", "elevated")).scalar()
     row = concept_drift(reference, current).withColumns(
         {
-            "reference_missing_pct": old.select("missing_pct").scalar(),
-            "current_missing_pct": new.select("missing_pct").scalar(),
-            "_elevated": new.select("elevated").scalar(),
+            "reference_missing_pct": old,
+            "_current": new,
             "_repeats": repeats,
-            "_features": shifted,
-            "drifted_features": listed,
+            "_shifts": shifts.scalar(),
         }
     )
     issues = F.array_compact(
         F.array(
-            F.when(F.col("_elevated"), F.lit("Incoming data has elevated missing-value ratio.")),
+            F.when(F.col("_current.elevated"), F.lit("Incoming data has elevated missing-value ratio.")),
             F.when(F.col("_repeats"), F.lit("Duplicate meter/timestamp rows detected in current data.")),
         )
     )
     row = row.withColumn("issues", F.array_join(issues, " ")).withColumn("issue_count", F.size(issues))
     return row.select(
-        (F.col("_features") | F.col("detected") | (F.col("issue_count") > 0)).cast("int").alias("drift_detected"),
-        "drifted_features",
+        (F.col("_shifts.any") | F.col("detected") | (F.col("issue_count") > 0)).cast("int").alias("drift_detected"),
+        F.col("_shifts.n").alias("drifted_features"),
         "reference_missing_pct",
-        "current_missing_pct",
+        F.col("_current.missing_pct").alias("current_missing_pct"),
         "issue_count",
         "issues",
         "theft_rate_shift",

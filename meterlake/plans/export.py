@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.operators import efficiency, risk, rollups
+from meterlake.plans.session import cut_lineage
 from meterlake.sources.io import export_records, to_documents, write_table
 
 
@@ -37,7 +38,15 @@ def overview_document(df: DataFrame, forecast: DataFrame | None = None, time_col
 
 
 def snapshot_document(df: DataFrame, segments: DataFrame | None = None, time_col: str = "timestamp", tie: str = "reading_id") -> DataFrame:
-    """Every payload of the live view in one nested row."""
+    """Every payload of the live view in one nested row.
+
+    A dozen rollups read the same rows, so these are written to the checkpoint folder once.
+    """
+    used = [
+        tie, "meter_id", "area", time_col, "timestamp", "consumption_kwh", "wastage_score", "humidity", "temperature_band", "is_anomaly",
+        "status", "anomaly_score", "theft_probability", "risk_score", "risk_level", "efficiency_score", "estimated_losses_kwh", "wastage_flag",
+    ]
+    df = cut_lineage(df.select(list(dict.fromkeys(used))))
     overview = overview_document(df, time_col=time_col)
     out = overview.select(F.lit("live_tick").alias("type"), F.struct(*overview.columns).alias("overview"))
     levels = risk.risk_level_counts(df)
@@ -63,6 +72,7 @@ def export_samples(df: DataFrame, path: str, tie: str = "reading_id", forecast:
 
     The best row as request and as response, up to five theft rows, the overview and a 20-row CSV.
     """
+    df = cut_lineage(df)  # read by every file of the bundle
     order = [F.desc("theft_probability"), F.desc("anomaly_score"), F.col(tie)]
     request = [
         "meter_id", "timestamp", "region", "area", "latitude", "longitude", "voltage", "current", "power", "consumption_kwh",

@@ -57,7 +57,7 @@ def expanded_frame(spark, base_frame):
         ],
         "m string, a string, u string, s double, w double, f double, seeded double, anomaly double, rf double, boost double, st string",
     )
-    df = base_frame.where("meter_id = 'M0001'").join(meters)
+    df = base_frame.where("meter_id = 'M0001'").join(meters.withColumn("region", F.lit("Bengaluru")), "region")
     df = df.select(
         F.col("m").alias("meter_id"), "timestamp", "region", F.col("a").alias("area"), "latitude", "longitude",
         (F.col("voltage") - F.col("s")).alias("voltage"), "current", (F.col("power") * F.col("s")).alias("power"),
