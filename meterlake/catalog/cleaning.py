@@ -210,7 +210,12 @@ def _one_hot(spark, folder):
     return feats.encode_features(df, wanted, keep=["reading_id"])
 
 
-@query("feature_vectors")
+@query(
+    "feature_vectors",
+    over_readings("""
+, w AS (SELECT 21 + count(DISTINCT region) + count(DISTINCT area) + count(DISTINCT weather_condition) + count(DISTINCT usage_profile) AS width FROM readings)
+SELECT reading_id, cast(width AS int) AS width FROM readings, w"""),
+)
 def _vectors(spark, folder):
     from pyspark.ml.functions import vector_to_array
 

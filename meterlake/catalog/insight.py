@@ -82,10 +82,11 @@ def _zscores(spark, folder):
 
 
 BOUND = PROFILE + """
-, clustered AS (SELECT *, cast(cast(substr(meter_id, 2) AS int) % 4 AS int) AS kmeans_cluster FROM profile)
+, clustered AS (SELECT * EXCLUDE (theft_probability, anomaly_score), theft_probability * 8e-1 AS theft_probability,
+  consumption_std / 1e3 AS anomaly_score, cast(cast(substr(meter_id, 2) AS int) % 4 AS int) AS kmeans_cluster FROM profile)
 , means AS (SELECT kmeans_cluster, """ + avg_sql("avg_consumption_kwh") + """ AS m FROM clustered GROUP BY 1)
 , names AS (SELECT kmeans_cluster, (['Residential', 'Commercial', 'Industrial'])[least(row_number() OVER (ORDER BY m, kmeans_cluster), 3)] AS label FROM means)
-, cut AS (SELECT round_even(quantile_cont(anomaly_score, 85e-2) * 1e6, 0) / 1e6 AS q FROM profile)
+, cut AS (SELECT round_even(quantile_cont(anomaly_score, 85e-2) * 1e6, 0) / 1e6 AS q FROM clustered)
 , segmented AS (
   SELECT c.*, CASE WHEN theft_probability >= 75e-2 OR anomaly_score >= q THEN 'Suspicious cluster' ELSE label END AS segment
   FROM clustered c JOIN names USING (kmeans_cluster), cut
@@ -93,9 +94,15 @@ BOUND = PROFILE + """
 
 
 def bound_segments(spark, folder):
-    """Profiles with a bound cluster number, so that naming and overriding can be checked exactly."""
-    number = F.substring("meter_id", 2, 20).cast("int") % 4
-    df = profile(spark, folder).withColumn("kmeans_cluster", number)
+    """Profiles with a bound cluster number and bound scores, so that naming and overriding can be
+    checked exactly and not every meter is suspicious."""
+    df = profile(spark, folder).withColumns(
+        {
+            "kmeans_cluster": F.substring("meter_id", 2, 20).cast("int") % 4,
+            "theft_probability": F.col("theft_probability") * 8e-1,
+            "anomaly_score": F.col("consumption_std") / 1e3,
+        }
+    )
     return segments.mark_suspicious(segments.segment_labels(df))
 
 

@@ -142,22 +142,25 @@ def _labels(spark, folder):
     return theft.roc_auc(spark.read.parquet(f"{folder}/labels.parquet"), "quality", "toxic")
 
 
-CANDIDATE_SQL = """
+CANDIDATES = """
 , ticked AS (
   SELECT *, max(CASE WHEN status = 'Electricity Theft' THEN 1 ELSE 0 END) OVER (PARTITION BY tick) AS has_theft,
     row_number() OVER (PARTITION BY tick ORDER BY 45e-2 * seeded_theft_probability + 3e-1 * greatest(theft_probability, 0e0)
       + 2e-1 * greatest(anomaly_score, 0e0) + 5e-2 * least(greatest(wastage_score, 0e0), 1e0) DESC, reading_id) AS nth
   FROM statused
-)
+)"""
+
+
+@query(
+    "promote_candidate",
+    over_statused(CANDIDATES + """
 SELECT reading_id, tick,
   CASE WHEN has_theft = 0 AND nth = 1 THEN greatest(theft_probability, 81e-2) ELSE theft_probability END AS theft_probability,
   CASE WHEN has_theft = 0 AND nth = 1 THEN greatest(random_forest_probability, 79e-2) ELSE random_forest_probability END AS random_forest_probability,
   CASE WHEN has_theft = 0 AND nth = 1 THEN greatest(xgboost_probability, 83e-2) ELSE xgboost_probability END AS xgboost_probability,
   CASE WHEN has_theft = 0 AND nth = 1 THEN 'Electricity Theft' ELSE status END AS status
-FROM ticked"""
-
-
-@query("promote_candidate", over_statused(CANDIDATE_SQL))
+FROM ticked"""),
+)
 def _promote(spark, folder):
     return theft.promote_candidate(statused(spark, folder), "tick").select(
         "reading_id", "tick", "theft_probability", "random_forest_probability", "xgboost_probability", "status"

@@ -61,10 +61,15 @@ def _export(spark, folder):
     return io.export_records(df, 100, [F.desc("risk_score"), F.col("reading_id")])
 
 
-@query("json_documents")
+@query(
+    "json_documents",
+    over_readings("""SELECT reading_id, meter_id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS "timestamp", consumption_kwh, usage_profile FROM readings"""),
+)
 def _documents(spark, folder):
     df = readings(spark, folder).select("reading_id", "meter_id", "timestamp", "consumption_kwh", "usage_profile")
-    return io.to_documents(io.export_records(df))
+    documents = io.to_documents(io.export_records(df))
+    shape = "reading_id bigint, meter_id string, timestamp string, consumption_kwh double, usage_profile string"
+    return documents.select(F.from_json("document", shape).alias("d")).select("d.*")
 
 
 @query(

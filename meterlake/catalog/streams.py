@@ -12,6 +12,7 @@ from meterlake.catalog.base import (
     query,
 )
 from meterlake.catalog.rollups import TOTALS
+from meterlake.catalog.scoring import CANDIDATES
 from meterlake.catalog.sources import scratch
 from meterlake.operators import efficiency, risk, rollups
 from meterlake.operators.clean import clean_readings
@@ -81,7 +82,16 @@ def score_ticks(df):
     return efficiency.efficiency_metrics(risk.score_risk(scored, by="tick", unit=("night_usage_ratio",)))
 
 
-@query("stream_scored_ticks")
+@query(
+    "stream_scored_ticks",
+    over_statused(
+        CANDIDATES
+        + f"""
+, promoted AS (SELECT * EXCLUDE (status), CASE WHEN has_theft = 0 AND nth = 1 THEN 'Electricity Theft' ELSE status END AS status FROM ticked)
+, recent AS (SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY tick DESC) AS d FROM promoted) WHERE d <= 36 ORDER BY tick DESC, reading_id DESC LIMIT 5000)
+SELECT {TOTALS} FROM recent GROUP BY tick ORDER BY tick DESC LIMIT 24"""
+    ),
+)
 def _ticks(spark, folder):
     base = scratch(spark, "stream")
     stream = sliced_stream(spark, folder, f"{base}/events")
