@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8). Each query is planned and run
-anew into a no-op sink: one warm-up, then the median of three runs.
+anew into a no-op sink: one warm-up, then the median of two runs.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def main() -> None:
     with contextlib.redirect_stdout(sys.stderr):
         for name in HEADLINE:
             run(spark, name, folder)
-            seconds[name] = round(statistics.median(run(spark, name, folder) for _ in range(3)), 3)
+            seconds[name] = round(statistics.median(run(spark, name, folder) for _ in range(2)), 3)
         for name in HEAVY:
             seconds[name] = round(run(spark, name, folder), 3)
     total = round(sum(seconds.values()), 3)

@@ -204,10 +204,9 @@ REGION_COLUMNS = [f"region_{r}" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE",
     ),
 )
 def _one_hot(spark, folder):
-    df = readings(spark, folder)
-    fitted = feats.design_columns(df, ["region", "usage_profile"])
-    wanted = ["power", "weather_condition_Snow", *[c for c in fitted if c.startswith(("region_", "usage_profile_"))]]
-    return feats.encode_features(df, wanted, keep=["reading_id"])
+    # A stored column list: categories the data lacks are 0, numeric columns it does not name are left out.
+    wanted = ["power", "weather_condition_Snow", *PROFILE_COLUMNS, *REGION_COLUMNS]
+    return feats.encode_features(readings(spark, folder), wanted, keep=["reading_id"])
 
 
 @query(
