@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.llm.chat import op10_chat_formatting
 from meterlake.llm.packing import op4_packing
+from meterlake.llm.secrets import op3_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES: dict[str, str] = {}
