@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.chat import op10_chat_formatting
+from meterlake.llm.language import op6_language
 from meterlake.llm.packing import op4_packing
-from meterlake.llm.secrets import op3_secrets
+from meterlake.llm.quality import op9_quality
+from meterlake.llm.secret_scan import op3_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
+    "op6_language_id": op6_language,
+    "op9_quality_classifier": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES: dict[str, str] = {}
