@@ -24,10 +24,10 @@ from meterlake.llm.common import BYTE_CODE, SPACE, held_out, mix, ngrams, odd_po
 BITS = 18
 #: Bound of the labelled rows that training takes.
 LABELLED_ROWS = 24_000
-SHARDS = 8
+SHARDS = 4
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-4
-SCALE = 30.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-4
+SCALE = 100.0
 STEP = 1 << 20
 
 SHAPE = np.arange(256, dtype=np.uint8)

@@ -10,13 +10,18 @@ from meterlake.llm.chat import op10_chat_formatting
 from meterlake.llm.language import op6_language
 from meterlake.llm.packing import op4_packing
 from meterlake.llm.quality import op9_quality
+from meterlake.llm.search import ORACLE as SEARCH_SQL
+from meterlake.llm.search import op8_search
 from meterlake.llm.secret_scan import op3_secrets
+from meterlake.llm.tokens import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
     "op6_language_id": op6_language,
+    "op8_exact_topk": op8_search,
     "op9_quality_classifier": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_exact_topk": SEARCH_SQL}
