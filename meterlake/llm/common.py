@@ -17,6 +17,9 @@ STEP_BYTES = 4 << 20
 #: White space of the word definition: bytes 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: The same and every other ASCII sign: bytes that are no part of a letter or digit.
+SIGNS = np.arange(256) < 128
+SIGNS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 #: A-Z to a-z on bytes; everything else as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -65,9 +68,9 @@ def steps(data: np.ndarray, offsets: np.ndarray, limit: int = STEP_BYTES) -> Ite
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash of each word (A-Z lowered), its byte start and end, and per document the range of its words (n+1)."""
-    inside = ~SPACE[data]
+    inside = ~space[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
@@ -113,6 +116,6 @@ def parallel(spark: SparkSession) -> int:
 
 
 __all__ = [
-    "BYTE_CODE", "LOWER", "SPACE", "STEP_BYTES", "cut_lineage", "held_out", "mix", "ngrams", "odd_powers", "parallel", "steps", "table",
+    "BYTE_CODE", "LOWER", "SIGNS", "SPACE", "STEP_BYTES", "cut_lineage", "held_out", "mix", "ngrams", "odd_powers", "parallel", "steps", "table",
     "text_bytes", "words",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.chat import op10_chat_formatting
 from meterlake.llm.language import op6_language
+from meterlake.llm.leaks import op7_decontamination
 from meterlake.llm.packing import op4_packing
 from meterlake.llm.quality import op9_quality
 from meterlake.llm.search import ORACLE as SEARCH_SQL
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
     "op6_language_id": op6_language,
+    "op7_decontamination": op7_decontamination,
     "op8_exact_topk": op8_search,
     "op9_quality_classifier": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
