@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then local alignment.
 
-Words are runs of letters and digits, A-Z lowered. The corpus frequency of every word 3-gram of the benchmark is counted over all
-documents; an item's seeds are the rarer half of its 3-grams. Where a document holds a seed, the stretch around it that the item could
+Words are runs of letters and digits in lower case. The corpus frequency of every word 3-gram of the benchmark is counted over all
+documents; an item's seeds are the rarer three quarters of its 3-grams. Where a document holds a seed, the stretch around it that the item could
 cover is aligned with the item word by word (Smith-Waterman: match +2, mismatch and gap -1), so edited copies with changed, dropped or
 added words are scored too. The share of the item's own score that the best alignment reaches is the match's score.
 
@@ -80,7 +80,7 @@ def corpus_counts(docs: DataFrame, sought: dict[int, np.ndarray], text: str = "t
                 [pa.array([n] * len(at), pa.int32()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["n", "gram", "times"]
             )
 
-    counted = docs.select(text).mapInArrow(run, "n int, gram int, times long").groupBy("n", "gram").agg(F.sum("times").alias("times"))
+    counted = docs.select(F.lower(text)).mapInArrow(run, "n int, gram int, times long").groupBy("n", "gram").agg(F.sum("times").alias("times"))
     out = {n: np.zeros(len(grams), np.int64) for n, grams in sought.items()}
     for n, gram, times in counted.collect():  # as many rows as the block has n-grams, at most
         out[n][gram] = times
@@ -120,15 +120,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", leak:
     """Adds `leaks`: (item_id, score, start, end in words) of every benchmark item that the document holds at `leak` or more."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
     blocks = max(1, -(-size // BLOCK_BYTES))
-    names = [n for n in docs.columns if n != "leaks"]
-    out = docs.select(*names, F.array().cast(HIT).alias("leaks"))
+    names = [n for n in docs.columns if n not in ("leaks", "_words")]
+    out = docs.select(*names, F.lower(text).alias("_words"), F.array().cast(HIT).alias("leaks"))
     for block in range(blocks):
-        items = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").collect()
-        out = add_leaks(out, docs, items, names, text, leak)
-    return out
+        items = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", F.lower("text")).collect()
+        out = add_leaks(out, docs, items, text, leak)
+    return out.drop("_words")
 
 
-def add_leaks(out: DataFrame, docs: DataFrame, items: list, names: list[str], text: str, leak: float) -> DataFrame:
+def add_leaks(out: DataFrame, docs: DataFrame, items: list, text: str, leak: float) -> DataFrame:
     """Appends to `leaks` the matches of one block of items."""
     codes = item_codes([r[1] for r in items])
     grams = [item_grams(c) for c in codes]
@@ -140,19 +140,19 @@ def add_leaks(out: DataFrame, docs: DataFrame, items: list, names: list[str], te
     for item, (own, n) in enumerate(grams):
         if n:
             which = np.searchsorted(sought[n], own)
-            rare = np.sort(times[n][which])[(len(own) - 1) // 2]
+            rare = np.sort(times[n][which])[3 * (len(own) - 1) // 4]
             for place in np.flatnonzero(times[n][which] <= rare):
                 seeds[n][int(own[place])].append((item, int(place)))
     packed = {n: (np.array(sorted(own), np.uint64), [own[k] for k in sorted(own)]) for n, own in seeds.items()}
     shared = docs.sparkSession.sparkContext.broadcast((packed, codes, [r[0] for r in items]))
     hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
-    column, schema = names.index(text), out.schema
+    names, schema = out.columns, out.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_seeds, own_codes, ids = shared.value
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            data, offsets = text_bytes(batch.column(column))
+            data, offsets = text_bytes(batch.column(len(names) - 2))
             for first, last, part, ends in steps(data, offsets):
                 words_of, _, _, ranges = words(part, ends, SIGNS)
                 owner = np.repeat(np.arange(last - first), np.diff(ranges))
@@ -176,8 +176,8 @@ def add_leaks(out: DataFrame, docs: DataFrame, items: list, names: list[str], te
                         hits[first + doc].append(
                             {"item_id": ids[item], "score": share, "start": max(0, best[1] - len(own)), "end": best[1]}
                         )
-            both = [a + b for a, b in zip(batch.column(len(names)).to_pylist(), hits, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(both, hit)], names=[*names, "leaks"])
+            both = [a + b for a, b in zip(batch.column(len(names) - 1).to_pylist(), hits, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(both, hit)], names=names)
 
     return out.mapInArrow(run, schema)
 
