@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.chat import op10_chat_formatting
+from meterlake.llm.jaccard import op5_jaccard
 from meterlake.llm.language import op6_language
 from meterlake.llm.leaks import op7_decontamination
 from meterlake.llm.packing import op4_packing
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
+    "op5_ngram_jaccard": op5_jaccard,
     "op6_language_id": op6_language,
     "op7_decontamination": op7_decontamination,
     "op8_exact_topk": op8_search,
