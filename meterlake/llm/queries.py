@@ -15,10 +15,12 @@ from meterlake.llm.quality import op9_quality
 from meterlake.llm.search import ORACLE as SEARCH_SQL
 from meterlake.llm.search import op8_search
 from meterlake.llm.secret_scan import op3_secrets
+from meterlake.llm.suffix import op2_suffix
 from meterlake.llm.tokens import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_suffix_dedup": op2_suffix,
     "op3_secret_scans": op3_secrets,
     "op4_best_fit_packing": op4_packing,
     "op5_ngram_jaccard": op5_jaccard,
