@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.llm.common import held_out, steps, table, text_bytes
 
@@ -173,7 +174,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     names = [n for n in docs.columns if n not in ("lang_pred", "score", "cross_entropy", "rejected")]
     kept = docs.select(*names)
-    schema = kept.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("cross_entropy"), F.lit(True).alias("rejected")).schema
+    added = (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("cross_entropy", T.DoubleType()), ("rejected", T.BooleanType()))
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in added]])
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
