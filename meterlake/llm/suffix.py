@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,9 +80,14 @@ def sampled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now rather than when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of finished steps now rather than when the driver next collects garbage.
+
+    Python's objects let go of the JVM's with the next call, so the JVM is asked twice.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def ranges_of(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +289,8 @@ def cut_spans(docs: DataFrame, notes: DataFrame, with_bytes: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every document (doc_id, text)."""
     spark = docs.sparkSession
-    parts = buckets = 4 * parallel(spark)
+    parts = 4 * parallel(spark)
+    buckets = 4 * parts
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
