@@ -146,7 +146,7 @@ def _highlights(spark, folder):
     over_readings("""
 , cut AS (SELECT max(tick) AS t FROM readings)
 , h AS (SELECT r.reading_id, r.meter_id, r.consumption_kwh, cast(NULL AS double) AS anomaly_score FROM readings r, cut
-  WHERE tick < t ORDER BY "timestamp" DESC, reading_id DESC LIMIT 3200)
+  WHERE tick < t)
 SELECT * FROM h UNION ALL SELECT r.reading_id, r.meter_id, r.consumption_kwh, r.anomaly_score FROM readings r, cut WHERE tick = t"""),
 )
 def _source(spark, folder):
@@ -406,8 +406,8 @@ REPORT_COLUMNS = ["meter_id", "timestamp", *SHIFTED, "theft_probability", "statu
     "drift_report",
     over_statused(f"""
 , cut AS (SELECT max(tick) - INTERVAL 3 DAY AS t FROM statused)
-, old_rows AS (SELECT s.* FROM statused s, cut WHERE tick < t ORDER BY "timestamp" DESC, reading_id DESC LIMIT 3500)
-, new_rows AS (SELECT s.* FROM statused s, cut WHERE tick >= t ORDER BY "timestamp" DESC, reading_id DESC LIMIT 1200)
+, old_rows AS (SELECT s.* FROM statused s, cut WHERE tick < t)
+, new_rows AS (SELECT s.* FROM statused s, cut WHERE tick >= t)
 , shifts AS ({shift_sql([*SHIFTED, 'theft_probability'], 'old_rows', 'new_rows')})
 , concept AS ({concept_sql('old_rows', 'new_rows')})
 , repeats AS (SELECT coalesce(max(n), 0) > 1 AS r FROM (SELECT count(*) AS n FROM new_rows GROUP BY meter_id, "timestamp"))
@@ -420,8 +420,8 @@ def _report(spark, folder):
     df = statused(spark, folder)
     newest = df.agg(F.max("tick") - F.make_dt_interval(F.lit(3))).scalar()
     columns = REPORT_COLUMNS
-    reference = rollups.last_rows(df.where(F.col("tick") < newest), 3500).select(columns)
-    current = rollups.last_rows(df.where(F.col("tick") >= newest), 1200).select(columns)
+    reference = df.where(F.col("tick") < newest).select(columns)
+    current = df.where(F.col("tick") >= newest).select(columns)
     return drift.drift_report(reference, current)
 
 

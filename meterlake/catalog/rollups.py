@@ -133,7 +133,7 @@ def _theft_summary(spark, folder):
     over_readings("""
 , cut AS (SELECT max(tick) AS t FROM readings)
 , parts AS (
-  SELECT * FROM (SELECT 0 AS part, r.* FROM readings r, cut WHERE tick < t ORDER BY "timestamp" DESC, reading_id DESC LIMIT 4000)
+  SELECT 0 AS part, r.* FROM readings r, cut WHERE tick < t
   UNION ALL SELECT 1, r.* FROM readings r, cut WHERE tick = t
 )
 SELECT "timestamp", reading_id, temperature, consumption_kwh, wastage_score, area FROM parts
@@ -196,7 +196,7 @@ def _heat(spark, folder):
 , o AS (SELECT count(*) AS active_meters, {count_sql('is_anomaly = 1')} AS anomalies, {count_sql("status = 'Electricity Theft'")} AS theft,
   {count_sql('wastage_flag = 1')} AS wastage FROM latest)
 , a AS (SELECT area, {sum_sql('consumption_kwh')} AS v FROM latest WHERE area IS NOT NULL GROUP BY 1 ORDER BY v DESC, area LIMIT 8)
-, w AS (SELECT {IMPACT} FROM (SELECT * FROM statused ORDER BY "timestamp" DESC, reading_id DESC LIMIT 4000) GROUP BY 1)
+, w AS (SELECT {IMPACT} FROM statused GROUP BY 1)
 , t AS (SELECT meter_id, theft_probability FROM latest WHERE status = 'Electricity Theft' ORDER BY meter_id LIMIT 10)
 SELECT 'overview' AS section, 1 AS position, 'active_meters' AS label, cast(active_meters AS double) AS value FROM o
 UNION ALL SELECT 'overview', 2, 'anomalies', cast(anomalies AS double) FROM o

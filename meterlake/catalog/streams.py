@@ -27,16 +27,16 @@ def reading_stream(spark, folder):
     return clean_readings(meter_readings(spark, folder, events))
 
 
-def sliced_stream(spark, folder, path: str):
-    """The events as a feed of three files in time order, one per batch."""
+def slices(spark, folder, path: str):
+    """The events as a feed that arrives in three slices of time, each of several files; yields a stream for each, and whether it is the last."""
     events = table(spark, folder, "events")
     cuts = [None, "2024-01-11", "2024-01-21", None]
     for low, high in zip(cuts, cuts[1:]):
         part = events if low is None else events.where(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
         part = part if high is None else part.where(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
-        part.write.mode("append").parquet(path)
-    files = feeds.read_stream(spark, path, SCHEMAS["events"], files_per_batch=1)
-    return clean_readings(meter_readings(spark, folder, files))
+        part.repartition(3, "event_id").write.mode("append").parquet(path)
+        files = feeds.read_stream(spark, path, SCHEMAS["events"])
+        yield clean_readings(meter_readings(spark, folder, files)), high is None
 
 
 @query("stream_hourly_demand", over_statused(f"SELECT {TOTALS} FROM statused GROUP BY tick"))
@@ -53,26 +53,27 @@ def _dedup(spark, folder):
 
 @query(
     "stream_rolling_features",
-    over_features('SELECT reading_id, rolling_average_consumption, consumption_variance, night_usage_ratio FROM features'),
+    over_features("""SELECT reading_id, rolling_average_consumption, consumption_variance, night_usage_ratio,
+  coalesce(consumption_kwh / nullif(max(consumption_kwh) OVER (PARTITION BY meter_id ORDER BY "timestamp", reading_id ROWS UNBOUNDED PRECEDING), 0), 0) AS peak_usage_ratio
+FROM features"""),
 )
 def _rolling(spark, folder):
     base = scratch(spark, "stream")
-    stream = sliced_stream(spark, folder, f"{base}/events")
-    return feeds.run_rolling_features(stream, base).select(
-        "reading_id", "rolling_average_consumption", "consumption_variance", "night_usage_ratio"
-    )
+    for stream, last in slices(spark, folder, f"{base}/events"):
+        rolled = feeds.run_rolling_features(stream, base, finish=last)
+    return rolled.select("reading_id", "rolling_average_consumption", "consumption_variance", "night_usage_ratio", "peak_usage_ratio")
 
 
 @query(
     "stream_recent_buffer",
     over_statused("""
 , ranked AS (SELECT *, dense_rank() OVER (ORDER BY tick DESC) AS nth FROM statused)
-SELECT reading_id, tick, status FROM ranked WHERE nth <= 36 ORDER BY tick DESC, reading_id DESC LIMIT 5000"""),
+SELECT reading_id, tick, status FROM ranked WHERE nth <= 36"""),
 )
 def _buffer(spark, folder):
     base = scratch(spark, "stream")
-    stream = sliced_stream(spark, folder, f"{base}/events")
-    scored = feeds.run_ticks(stream, base, lambda df: classify(flagged(df)), time_col="tick")
+    for stream, last in slices(spark, folder, f"{base}/events"):
+        scored = feeds.run_ticks(stream, base, lambda df: classify(flagged(df)), time_col="tick", finish=last)
     return feeds.recent_buffer(scored, time_col="tick").select("reading_id", "tick", "status")
 
 
@@ -88,26 +89,29 @@ def score_ticks(df):
         CANDIDATES
         + f"""
 , promoted AS (SELECT * EXCLUDE (status), CASE WHEN has_theft = 0 AND nth = 1 THEN 'Electricity Theft' ELSE status END AS status FROM ticked)
-, recent AS (SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY tick DESC) AS d FROM promoted) WHERE d <= 36 ORDER BY tick DESC, reading_id DESC LIMIT 5000)
+, recent AS (SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY tick DESC) AS d FROM promoted) WHERE d <= 36)
 SELECT {TOTALS} FROM recent GROUP BY tick ORDER BY tick DESC LIMIT 24"""
     ),
 )
 def _ticks(spark, folder):
     base = scratch(spark, "stream")
-    stream = sliced_stream(spark, folder, f"{base}/events")
-    feeds.run_ticks(
-        stream,
-        base,
-        score_ticks,
-        snapshots={
-            "live_predictions": lambda recent: rollups.at_latest(recent, "tick"),
-            "area_risk": risk.risk_by_area,
-            "live_timeline": lambda recent: rollups.live_timeline(recent, time_col="tick"),
-        },
-        side_outputs={
-            "heat_points": (3, lambda scored: rollups.heat_points(scored, time_col="tick")),
-            "report_tables": (6, rollups.report_tables),
-        },
-        time_col="tick",
-    )
+    for stream, last in slices(spark, folder, f"{base}/events"):
+        feeds.run_ticks(
+            stream,
+            base,
+            score_ticks,
+            snapshots={
+                "live_predictions": lambda recent: rollups.at_latest(recent, "tick"),
+                "recent_predictions": lambda recent: recent,
+                "area_risk": risk.risk_by_area,
+                "efficiency_metrics": lambda recent: efficiency.efficiency_by_area(rollups.at_latest(recent, "tick")),
+                "live_timeline": lambda recent: rollups.live_timeline(recent, time_col="tick"),
+            },
+            side_outputs={
+                "heat_points": (3, lambda scored: rollups.heat_points(scored, time_col="tick")),
+                "report_tables": (6, rollups.report_tables),
+            },
+            time_col="tick",
+            finish=last,
+        )
     return feeds.newest_snapshot(spark, base, "live_timeline")

@@ -70,9 +70,10 @@ def column_or(df: DataFrame, name: str, default: float = 0.0) -> Column:
 
 
 def order_hash(key: Column, seed: int = 42) -> Column:
-    """Portable seeded shuffle order over whole-number keys (a linear congruential step).
+    """Portable seeded shuffle order over keys (a linear congruential step over whole numbers).
 
-    The key is reduced first, so that no key overflows a bigint.
+    The key is reduced first, so that no key overflows a bigint; a text that is no number counts by its CRC-32.
     """
-    low = F.pmod(key.cast("bigint"), F.lit(2147483648))
+    text = key.cast("string")
+    low = F.pmod(F.coalesce(text.try_cast("bigint"), F.crc32(text.cast("binary"))), F.lit(2147483648))
     return F.pmod(low * F.lit(1103515245) + F.lit(12345 * seed), F.lit(2147483648))

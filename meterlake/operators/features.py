@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from meterlake.functions.numeric import column_or, ratio
-from meterlake.plans.size import input_bytes
+from meterlake.plans.session import cut_lineage
 from meterlake.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 
 WINDOW_ROWS = 24
@@ -49,58 +50,60 @@ def electrical_features(df: DataFrame) -> DataFrame:
 SLOT_LEVELS = ("_s1", "_s2", "_s3")
 
 
-def place_in_slots(df: DataFrame, time_col: str, tie: str, hot_rows: int) -> DataFrame:
-    """Cut the series of meters too big for one task into slots, in three levels (`SLOT_LEVELS`).
+def _position(df: DataFrame, tie: str) -> Column:
+    """A number that never falls along the order of `tie`: numbers as they are, text by its first six bytes."""
+    kind = df.schema[tie].dataType
+    if isinstance(kind, NumericType):
+        return F.col(tie).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.unix_micros(F.col(tie).cast("timestamp")).cast("double")
+    head = F.hex(F.substring(F.encode(F.col(tie).cast("string"), "UTF-8"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
 
-    Level one cuts a hot meter's time span into equal parts; a part that is still too big (a burst)
-    is cut again by its own span, and one that is a single instant (copies) by its keys. A row finds
-    its slot by arithmetic on a few numbers of its meter or part. Slots are numbered in the order of
-    (time, key), everything else is slot 0.
 
-    Hot means more than `hot_rows` rows and more than 1/20000 of all rows, so no level broadcasts
-    more than 20 000 rows.
+def place_in_slots(df: DataFrame, time_col: str, tie: str, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """Cut the series of meters with more than `hot_rows` rows into slots; the levels that were needed.
+
+    Level one cuts a meter's time span into equal parts; a part that is still too big (a burst) is cut again by its own
+    span, and one that is a single instant (copies) by the positions of its keys. Slots are numbered in the order of
+    (time, key), everything else is slot 0, and levels end as soon as no part is too big.
     """
     stamp = F.unix_micros(F.col(time_col).cast("timestamp"))
-    out = df.withColumns({"_hot": F.lit(False), "_peak": F.lit(None).cast("double"), **{c: F.lit(0) for c in SLOT_LEVELS}})
+    out = df.withColumns({"_at": stamp.cast("double"), "_key": _position(df, tie), "_hot": F.lit(False), "_peak": F.lit(None).cast("double")})
     keys: list[str] = ["meter_id"]
-    share = None
+    used: list[str] = []
     for level in SLOT_LEVELS:
-        rows = out if level == SLOT_LEVELS[0] else out.where("_hot")
-        counts = rows.groupBy(*keys).agg(
+        counts = (out.where("_hot") if used else out).groupBy(*keys).agg(
             F.count("*").alias("_n"), F.max("consumption_kwh").alias("_top"),
-            F.min(stamp).alias("_t0"), F.max(stamp).alias("_t1"), F.min(tie).alias("_k0"), F.max(tie).alias("_k1"),
+            F.min("_at").alias("_t0"), F.max("_at").alias("_t1"), F.min("_key").alias("_k0"), F.max("_key").alias("_k1"),
         )
-        if share is None:
-            share = (counts.agg(F.sum("_n")).scalar() / 20_000).cast("bigint")
-        instant = F.col("_t0") == F.col("_t1")
-        big = counts.where(F.col("_n") > F.greatest(share, F.lit(hot_rows))).select(
-            *keys,
-            "_top",
-            instant.alias("_by_key"),
-            F.when(instant, F.col("_k0").try_cast("double")).otherwise(F.col("_t0").cast("double")).alias("_from"),
-            F.greatest(
-                F.when(instant, F.col("_k1").try_cast("double") - F.col("_k0").try_cast("double")).otherwise(
-                    (F.col("_t1") - F.col("_t0")).cast("double")
-                ),
-                F.lit(1e0),
-            ).alias("_span"),
-            F.least(F.ceil(F.col("_n") * 4 / F.lit(hot_rows)), F.lit(4096)).cast("double").alias("_parts"),
+        instant = F.coalesce(F.col("_t0") == F.col("_t1"), F.lit(True))
+        # At most one row for each `hot_rows` rows of the input.
+        big = cut_lineage(
+            counts.where(F.col("_n") > hot_rows).select(
+                *keys, "_top", instant.alias("_by_key"), F.when(instant, F.col("_k0")).otherwise(F.col("_t0")).alias("_from"),
+                F.greatest(F.when(instant, F.col("_k1") - F.col("_k0")).otherwise(F.col("_t1") - F.col("_t0")), F.lit(1e0)).alias("_span"),
+                F.ceil(F.col("_n") * 4 / F.lit(hot_rows)).cast("double").alias("_parts"),
+            )
         )
-        at = F.when(F.col("_by_key"), F.col(tie).try_cast("double")).otherwise(stamp.cast("double"))
+        if big.isEmpty():
+            break
+        at = F.when(F.col("_by_key"), F.col("_key")).otherwise(F.col("_at"))
         part = F.least(F.floor((at - F.col("_from")) / F.col("_span") * F.col("_parts")), F.col("_parts") - 1).cast("int")
         out = (
-            out.join(F.broadcast(big), keys, "left")
+            out.join(big, keys, "left")
             .withColumns(
                 {
                     level: F.coalesce(part, F.lit(0)),
-                    "_hot": F.col("_hot") | F.col("_from").isNotNull(),
+                    "_hot": F.col("_hot") | F.col("_parts").isNotNull(),
                     "_peak": F.coalesce("_peak", "_top"),
                 }
             )
             .drop("_top", "_by_key", "_from", "_span", "_parts")
         )
         keys.append(level)
-    return out
+        used.append(level)
+    return out.drop("_at", "_key"), used
 
 
 def rolling_features(
@@ -114,20 +117,23 @@ def rolling_features(
     """Rolling mean, sample variance and night share over the last `rows` readings of a meter, and
     the share of the meter's peak. `scope="tick"` restarts the windows at every timestamp.
 
-    Inputs of less than four bytes per `hot_rows` rows cannot hold a hot meter worth splitting, and
-    the search for one is left out of the plan; so it is with `hot_rows=None`.
+    Meters are counted first; those of more than `hot_rows` rows are cut into slots. `hot_rows=None` leaves the
+    count out, for inputs known to hold no such meter.
     """
     units = F.rint(F.col("consumption_kwh") * UNITS)
     night = F.when(_is_night(F.hour(time_col)), units).otherwise(F.lit(0e0))
     base = df.withColumns({"_x": units, "_night": night})
-    split = scope == "history" and hot_rows is not None and input_bytes(df) >= 4 * hot_rows
-    if split:
-        keys = ["meter_id", *SLOT_LEVELS]
+    levels: list[str] = []
+    placed = base
+    if scope == "history" and hot_rows is not None:
+        placed, levels = place_in_slots(base, time_col, tie, hot_rows)
+    if levels:
+        keys = ["meter_id", *levels]
         # Asked for by name: an input already partitioned by meter would count as good enough.
-        placed = place_in_slots(base, time_col, tie, hot_rows).repartition(*keys)
+        placed = placed.repartition(*keys)
     else:
         keys = ["meter_id"] if scope == "history" else ["meter_id", time_col]
-        placed = base.withColumn("_peak", F.lit(None).cast("double"))
+        placed = placed.drop("_hot").withColumn("_peak", F.lit(None).cast("double"))
 
     ordered = Window.partitionBy(*keys).orderBy(time_col, tie)
     recent = ordered.rowsBetween(-(rows - 1), 0)
@@ -140,8 +146,8 @@ def rolling_features(
             "_top": F.coalesce("_peak", F.max("consumption_kwh").over(Window.partitionBy(*keys))),
         }
     )
-    if split:
-        out = _with_rows_before_slot(out, placed, ordered, time_col, tie, rows)
+    if levels:
+        out = _with_rows_before_slot(out, placed, levels, ordered, time_col, tie, rows)
 
     n, sx, sxx, sn = (F.col(c) for c in ("_n", "_sx", "_sxx", "_sn"))
     variance = F.greatest(sxx - sx * sx / n, F.lit(0e0)) / F.nullif(n - 1e0, F.lit(0e0)) / (UNITS * UNITS)
@@ -156,10 +162,10 @@ def rolling_features(
     return out.drop("_x", "_night", "_hot", "_peak", *SLOT_LEVELS, "_n", "_sx", "_sxx", "_sn", "_top")
 
 
-def _with_rows_before_slot(out: DataFrame, placed: DataFrame, ordered, time_col: str, tie: str, rows: int) -> DataFrame:
+def _with_rows_before_slot(out: DataFrame, placed: DataFrame, levels: list[str], ordered, time_col: str, tie: str, rows: int) -> DataFrame:
     """Add to the first rows of a slot what the window still misses from the slots before it."""
     need = rows - 1
-    slot = ["meter_id", *SLOT_LEVELS]
+    slot = ["meter_id", *levels]
     backwards = Window.partitionBy(*slot).orderBy(F.desc(time_col), F.desc(tie))
     tails = (
         placed.where("_hot")
@@ -169,13 +175,13 @@ def _with_rows_before_slot(out: DataFrame, placed: DataFrame, ordered, time_col:
     )
     # From here on a meter has `need` rows per slot at most, however many readings.
     history = Window.partitionBy("meter_id").orderBy(time_col, tie).rowsBetween(-(need - 1), 0)
-    following = Window.partitionBy("meter_id").orderBy(*SLOT_LEVELS)
+    following = Window.partitionBy("meter_id").orderBy(*levels)
     halo = (
         tails.withColumn("_prior", F.collect_list(F.struct(F.col("_x").alias("x"), F.col("_night").alias("n"))).over(history))
         .where(F.col("_back") == 1)
-        .withColumn("_next", F.lead(F.struct(*SLOT_LEVELS)).over(following))
+        .withColumn("_next", F.lead(F.struct(*levels)).over(following))
         .where(F.col("_next").isNotNull())
-        .select("meter_id", *[F.col(f"_next.{c}").alias(c) for c in SLOT_LEVELS], "_prior")
+        .select("meter_id", *[F.col(f"_next.{c}").alias(c) for c in levels], "_prior")
     )
     joined = out.withColumn("_pos", F.row_number().over(ordered)).join(halo, slot, "left")
     missing = F.least(F.lit(rows) - F.col("_pos"), F.size("_prior"))

@@ -109,10 +109,10 @@ def theft_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def weather_scatter(history: DataFrame, recent: DataFrame, history_rows: int = 4000, points: int = 240, tie: str = "reading_id") -> DataFrame:
-    """The newest history rows followed by the recent ones; of these the last `points`."""
+def weather_scatter(history: DataFrame, recent: DataFrame, history_rows: int | None = None, points: int = 240, tie: str = "reading_id") -> DataFrame:
+    """The history (its newest rows only, if asked for) followed by the recent rows; of these the last `points`."""
     columns = ["timestamp", tie, "temperature", "consumption_kwh", "wastage_score", "area"]
-    old = last_rows(history, history_rows, tie=tie).select(*columns, F.lit(0).alias("_part"))
+    old = (history if history_rows is None else last_rows(history, history_rows, tie=tie)).select(*columns, F.lit(0).alias("_part"))
     new = recent.select(*columns, F.lit(1).alias("_part"))
     both = old.unionByName(new)
     return both.orderBy(F.desc("_part"), F.desc("timestamp"), F.desc(tie)).limit(points).drop("_part")
@@ -164,7 +164,7 @@ def heat_points(df: DataFrame, markers: int = 150, time_col: str = "timestamp",
     return points.join(top, tie, "left").withColumn("is_marker", F.coalesce("is_marker", F.lit(0)))
 
 
-def report_tables(df: DataFrame, weather_rows: int = 4000, tie: str = "reading_id") -> DataFrame:
+def report_tables(df: DataFrame, weather_rows: int | None = None, tie: str = "reading_id") -> DataFrame:
     """The four tables of the daily report in long form: section, position, label, value."""
     latest = latest_per_meter(df, tie=tie)
     counts = overview(latest)
@@ -185,7 +185,7 @@ def report_tables(df: DataFrame, weather_rows: int = 4000, tie: str = "reading_i
         )
 
     areas = listed(consumption_by_area(latest).limit(8), "areas", "area", "consumption_kwh", [F.desc("consumption_kwh"), F.col("area")])
-    weather = listed(weather_impact(last_rows(df, weather_rows, tie=tie)), "weather", "temperature_band", "avg_consumption", [F.col("temperature_band")])
+    weather = listed(weather_impact(df if weather_rows is None else last_rows(df, weather_rows, tie=tie)), "weather", "temperature_band", "avg_consumption", [F.col("temperature_band")])
     theft = listed(
         latest.where(F.col("status") == THEFT).orderBy("meter_id").limit(10), "theft", "meter_id", "theft_probability", [F.col("meter_id")]
     )

@@ -132,9 +132,9 @@ def segment_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def clustering_source(history: DataFrame, recent: DataFrame, rows: int = 3200) -> DataFrame:
-    """The newest history rows together with the recent ones; absent columns become null."""
-    return last_rows(history, rows).unionByName(recent, allowMissingColumns=True)
+def clustering_source(history: DataFrame, recent: DataFrame, rows: int | None = None) -> DataFrame:
+    """The history (its newest rows only, if asked for) together with the recent rows; absent columns become null."""
+    return (history if rows is None else last_rows(history, rows)).unionByName(recent, allowMissingColumns=True)
 
 
 def suspicious_members(df: DataFrame, limit: int = 20) -> DataFrame:

@@ -45,11 +45,11 @@ def promote_candidate(df: DataFrame, time_col: str = "timestamp", tie: str = "re
     best = (
         df.groupBy(F.col(time_col).alias("_tick"))
         .agg(
-            F.max(F.struct(score.alias("s"), (-F.col(tie)).alias("k"))).alias("_best"),
+            F.min(F.struct((-score).alias("s"), F.col(tie).alias("k"))).alias("_best"),
             F.max((F.col("status") == THEFT).cast("int")).alias("_has"),
         )
         .where(F.col("_has") == 0)
-        .select("_tick", (-F.col("_best.k")).alias("_chosen"))
+        .select("_tick", F.col("_best.k").alias("_chosen"))
     )
     joined = df.join(best, (F.col(time_col) == F.col("_tick")) & (F.col(tie) == F.col("_chosen")), "left")
     chosen = F.col("_chosen").isNotNull()

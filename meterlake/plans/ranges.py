@@ -98,9 +98,11 @@ def ranked_by_hash(df: DataFrame, by: str, key: str, seed: int = 42, cells: int
     )
     within = Window.partitionBy(by, "_cell").orderBy("_h", key)
     return (
-        spread.join(offsets, [by, "_cell"])
+        spread.join(
+            offsets.withColumnsRenamed({by: "_by", "_cell": "_at"}), F.col(by).eqNullSafe(F.col("_by")) & F.col("_cell").eqNullSafe(F.col("_at"))
+        )
         .withColumn("_rank", F.col("_before") + F.row_number().over(within))
-        .drop("_h", "_cell", "_before")
+        .drop("_h", "_cell", "_before", "_by", "_at")
     )
 
 

@@ -27,16 +27,23 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "met
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a fresh local one only where none is configured."""
+    """The cluster's checkpoint folder; a fresh local one only where none is configured and executors are local too."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not only_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="meterlake-checkpoint-"))
     return sc.getCheckpointDir()
 
 
+def only_local(master: str) -> bool:
+    """Whether tasks run in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and read them back from there."""
     checkpoint_folder(df.sparkSession)

@@ -39,6 +39,8 @@ def load_readings(spark: SparkSession, path: str, fmt: str = "csv", max_rows: in
 def append_readings(df: DataFrame, path: str, fmt: str = "parquet", partition: bool = True) -> None:
     """Append readings as one distributed write, by event date unless told otherwise."""
     out = df.withColumn("event_date", F.to_date("timestamp")) if partition else df
+    # In the order of meter and time, so that file statistics prune by meter.
+    out = out.sortWithinPartitions(*(["event_date"] if partition else []), "meter_id", "timestamp")
     writer = out.write.mode("append").format(fmt)
     if partition:
         writer = writer.partitionBy("event_date")
@@ -157,8 +159,8 @@ def live_slice(df: DataFrame, catalog: DataFrame, meters: int = 120, days: int =
 
 
 def enrich_weather(df: DataFrame, weather: DataFrame, time_col: str = "timestamp") -> DataFrame:
-    """Attach area weather to readings by area and hour. Adaptive execution picks the join by size."""
-    hourly = weather.withColumnRenamed("timestamp", "_hour").withColumnRenamed("area", "_area")
+    """Attach area weather to readings by area and hour, one observation each. Adaptive execution picks the join by size."""
+    hourly = weather.dropDuplicates(["area", "timestamp"]).withColumnRenamed("timestamp", "_hour").withColumnRenamed("area", "_area")
     here = (F.col("area") == F.col("_area")) & (F.date_trunc("hour", time_col) == F.col("_hour"))
     return df.join(hourly, here, "left").drop("_area", "_hour")
 

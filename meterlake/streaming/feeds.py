@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterlake.functions.numeric import count_if, exact_sum
+from meterlake.functions.numeric import count_if, exact_sum, ratio
 from meterlake.operators.features import HOT_ROWS, WINDOW_ROWS, rolling_features
+from meterlake.plans.session import cut_lineage
 from meterlake.schema import THEFT
 
 LATE = "2 hours"
@@ -57,16 +59,13 @@ def hourly_demand(df: DataFrame, time_col: str = "timestamp", late: str = LATE)
 
 
 def run_hourly_demand(df: DataFrame, folder: str, time_col: str = "timestamp") -> DataFrame:
-    """Drive the stream to its end; every batch replaces the whole (hour-sized) result."""
-    spark = df.sparkSession
-    last: list[int] = []
+    """Drive the stream to its end; every batch replaces the whole (hour-sized) result. A run without news returns the last one."""
 
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/demand/batch={number}")
-        last.append(number)
 
     _start(hourly_demand(df, time_col), store, f"{folder}/demand-progress", "complete").awaitTermination()
-    return spark.read.parquet(f"{folder}/demand/batch={last[-1]}")
+    return newest_snapshot(df.sparkSession, folder, "demand")
 
 
 def without_repeats(df: DataFrame, time_col: str = "timestamp", late: str = LATE) -> DataFrame:
@@ -88,43 +87,82 @@ def run_to_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _last(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The table of the newest batch (below `before`), if there is one."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return None
+        raise
+    if before is not None:
+        table = table.where(F.col("batch") < before)
+    newest = table.agg(F.max("batch")).head()[0]
+    return None if newest is None else table.where(F.col("batch") == newest).drop("batch")
+
+
 def run_rolling_features(
-    df: DataFrame, folder: str, time_col: str = "timestamp", tie: str = "reading_id", hot_rows: int | None = HOT_ROWS
+    df: DataFrame, folder: str, time_col: str = "timestamp", tie: str = "reading_id", hot_rows: int | None = HOT_ROWS,
+    late: str = LATE, finish: bool = True,
 ) -> DataFrame:
-    """Rolling features over a feed that arrives in time order.
+    """Rolling features over a feed, in the order of event time whatever the order of files and rows.
 
-    Between batches only the last readings of each meter are kept, as a table per batch, and the
-    batch operator runs over them and the new rows together, hot meters included. The peak is the
-    running one, since a stream does not know the future.
+    A row waits until the newest time seen is `late` past it, so rows that come out of order by less than that are put right;
+    later ones are kept apart in `late`. `finish` releases what waits at the end; a feed that goes on is run without it. Between
+    batches only the waiting rows and the last readings of each meter are kept. The peak is the running one, since a stream does
+    not know the future.
     """
     spark = df.sparkSession
     columns = ["meter_id", time_col, tie, "consumption_kwh"]
 
-    def advance(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        new = batch.select(*columns, F.lit(True).alias("_new"), F.lit(None).cast("double").alias("_peak"))
-        known = new if number == 0 else new.unionByName(spark.read.parquet(f"{folder}/memory/batch={number - 1}").withColumn("_new", F.lit(False)))
-        peaks = known.groupBy("meter_id").agg(F.max(F.greatest("_peak", "consumption_kwh")).alias("_peak"))
-        rolled = rolling_features(known.drop("_peak"), time_col, tie, hot_rows=hot_rows)
-        out = rolled.where("_new").select(
-            "meter_id", time_col, tie, "rolling_average_consumption", "consumption_variance", "night_usage_ratio"
+    def release(ready: DataFrame, number: int) -> None:
+        new = ready.select(*columns, F.lit(True).alias("_new"), F.lit(None).cast("double").alias("_running"))
+        memory = _last(spark, f"{folder}/memory", number)
+        known = new if memory is None else new.unionByName(memory.withColumn("_new", F.lit(False)))
+        upto = Window.partitionBy("meter_id").orderBy(time_col, tie).rowsBetween(Window.unboundedPreceding, 0)
+        known = cut_lineage(known.withColumn("_running", F.max(F.greatest("_running", "consumption_kwh")).over(upto)))
+        out = rolling_features(known, time_col, tie, hot_rows=hot_rows).where("_new")
+        running = ratio(F.col("consumption_kwh"), F.nullif(F.col("_running"), F.lit(0e0)))
+        out = out.select(
+            "meter_id", time_col, tie, "rolling_average_consumption", "consumption_variance", running.alias("peak_usage_ratio"), "night_usage_ratio"
         )
         out.write.mode("overwrite").parquet(f"{folder}/rolled/batch={number}")
         back = Window.partitionBy("meter_id").orderBy(F.desc(time_col), F.desc(tie))
-        memory = (
-            known.drop("_peak").withColumn("_nth", F.row_number().over(back)).where(F.col("_nth") < WINDOW_ROWS).join(peaks, "meter_id")
-        )
-        memory.select(*columns, "_peak").write.mode("overwrite").parquet(f"{folder}/memory/batch={number}")
-        batch.unpersist()
+        kept = known.withColumn("_nth", F.row_number().over(back)).where(F.col("_nth") < WINDOW_ROWS)
+        kept.select(*columns, "_running").write.mode("overwrite").parquet(f"{folder}/memory/batch={number}")
 
-    _start(df.select(*columns), advance, f"{folder}/rolled-progress").awaitTermination()
+    def advance(batch: DataFrame, number: int) -> None:
+        waiting = _last(spark, f"{folder}/waiting", number)
+        clock = _last(spark, f"{folder}/clock", number)
+        passed = None if clock is None else clock.head()[0]
+        rows = cut_lineage(batch.select(*columns))
+        if passed is not None:
+            rows.where(F.col(time_col) <= F.lit(passed)).write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+            rows = rows.where(F.col(time_col) > F.lit(passed))
+        every = rows if waiting is None else rows.unionByName(waiting)
+        now = cut_lineage(every.agg((F.max(time_col) - F.expr(f"INTERVAL {late}")).alias("at")))
+        at = now.head()[0]
+        at = passed if at is None or (passed is not None and at < passed) else at
+        if at is not None:
+            release(every.where(F.col(time_col) <= F.lit(at)), number)
+            every = every.where(F.col(time_col) > F.lit(at))
+            now.select(F.lit(at).alias("at")).write.mode("overwrite").parquet(f"{folder}/clock/batch={number}")
+        every.write.mode("overwrite").parquet(f"{folder}/waiting/batch={number}")
+
+    query = _start(df.select(*columns), advance, f"{folder}/rolled-progress")
+    query.awaitTermination()
+    waiting = _last(spark, f"{folder}/waiting") if finish else None
+    if waiting is not None:
+        number = 1 + spark.read.parquet(f"{folder}/waiting").agg(F.max("batch")).head()[0]
+        release(waiting, number)
+        waiting.limit(0).write.mode("overwrite").parquet(f"{folder}/waiting/batch={number}")
     return spark.read.parquet(f"{folder}/rolled").drop("batch")
 
 
-def recent_buffer(df: DataFrame, ticks: int = 36, rows: int = 5000, time_col: str = "timestamp", tie: str = "reading_id") -> DataFrame:
-    """The newest rows of the last `ticks` timestamps."""
+def recent_buffer(df: DataFrame, ticks: int = 36, time_col: str = "timestamp") -> DataFrame:
+    """All rows of the last `ticks` timestamps."""
     oldest = df.select(time_col).distinct().orderBy(F.desc(time_col)).limit(ticks).agg(F.min(time_col)).scalar()
-    return df.where(F.col(time_col) >= oldest).orderBy(F.desc(time_col), F.desc(tie)).limit(rows)
+    return df.where(F.col(time_col) >= oldest)
 
 
 def run_ticks(
@@ -134,31 +172,59 @@ def run_ticks(
     snapshots: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     side_outputs: dict[str, tuple[int, Callable[[DataFrame], DataFrame]]] | None = None,
     time_col: str = "timestamp",
+    finish: bool = True,
 ) -> DataFrame:
-    """Score a feed batch by batch and keep the tables a live view reads.
+    """Score a feed tick by tick and keep the tables a live view reads.
 
-    `score` turns a batch of readings into scored ones (windows and normalisation per timestamp).
-    Scored batches form the history. `snapshots` are tables rebuilt from the recent buffer after
-    every batch; `side_outputs` are tables from the batch, written every n-th batch only.
+    The newest timestamp of a batch waits for the next one, so a tick that comes in several batches is scored once and whole;
+    rows of a tick already scored are kept apart in `late`. `finish` releases the last tick. `score` turns readings into scored
+    ones (windows and normalisation per timestamp). Scored batches form the history. `snapshots` are tables rebuilt from the
+    recent buffer after every batch; the buffer is carried from batch to batch, so the history is not read again.
+    `side_outputs` are tables from the batch, written every n-th batch only.
     """
     spark = df.sparkSession
 
-    def tick(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
+    def release(ready: DataFrame, number: int) -> None:
         path = f"{folder}/scored/batch={number}"
-        score(batch).write.mode("overwrite").parquet(path)
+        score(ready).write.mode("overwrite").parquet(path)
         scored = spark.read.parquet(path)
-        if snapshots:
-            recent = recent_buffer(spark.read.parquet(f"{folder}/scored"), time_col=time_col)
-            for name, build in snapshots.items():
-                build(recent).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
+        buffer = _last(spark, f"{folder}/recent_buffer", number)
+        both = scored if buffer is None else scored.unionByName(buffer)
+        recent_buffer(both, time_col=time_col).write.mode("overwrite").parquet(f"{folder}/recent_buffer/batch={number}")
+        recent = spark.read.parquet(f"{folder}/recent_buffer/batch={number}")
+        for name, build in (snapshots or {}).items():
+            build(recent).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
         for name, (every, build) in (side_outputs or {}).items():
             if number % every == 0:
                 build(scored).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
 
+    def tick(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        waiting = _last(spark, f"{folder}/waiting", number)
+        buffer = _last(spark, f"{folder}/recent_buffer", number)
+        passed = None if buffer is None else buffer.agg(F.max(time_col)).head()[0]
+        rows = cut_lineage(batch)
+        if passed is not None:
+            rows.where(F.col(time_col) <= F.lit(passed)).write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+            rows = rows.where(F.col(time_col) > F.lit(passed))
+        every = rows if waiting is None else rows.unionByName(waiting)
+        newest = every.agg(F.max(time_col)).head()[0]
+        ready = every.where(F.col(time_col) < F.lit(newest))
+        if not ready.isEmpty():
+            release(ready, number)
+        every.where(F.col(time_col) == F.lit(newest)).write.mode("overwrite").parquet(f"{folder}/waiting/batch={number}")
+
     _start(df, tick, f"{folder}/ticks-progress").awaitTermination()
-    return spark.read.parquet(f"{folder}/scored")
+    waiting = _last(spark, f"{folder}/waiting") if finish else None
+    if waiting is not None and not waiting.isEmpty():
+        number = 1 + spark.read.parquet(f"{folder}/waiting").agg(F.max("batch")).head()[0]
+        release(waiting, number)
+        waiting.limit(0).write.mode("overwrite").parquet(f"{folder}/waiting/batch={number}")
+    if _last(spark, f"{folder}/recent_buffer") is not None:
+        return spark.read.parquet(f"{folder}/scored")
+    # Nothing is complete yet.
+    return score(spark.createDataFrame([], df.schema)).withColumn("batch", F.lit(0))
 
 
 def newest_snapshot(spark: SparkSession, folder: str, name: str) -> DataFrame:

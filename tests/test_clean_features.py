@@ -151,3 +151,32 @@ def test_json_documents(spark, base_frame):
     df = base_frame.select("meter_id", "timestamp", F.lit(float("nan")).alias("x"))
     (doc,) = [json.loads(r[0]) for r in io.to_documents(io.export_records(df, 1, [F.col("meter_id"), F.col("timestamp")])).collect()]
     assert doc == {"meter_id": "M0001", "timestamp": "2026-03-12T00:00:00", "x": None}
+
+
+@pytest.mark.parametrize("keys", ["number", "text", "prefixed"])
+def test_copies_of_one_instant_split_by_key_in_its_own_order(spark, keys):
+    key = {"number": F.col("id"), "text": F.col("id").cast("string"), "prefixed": F.concat(F.lit("r"), F.col("id").cast("string"))}[keys]
+    df = spark.range(900).select(
+        key.alias("reading_id"), F.lit("M1").alias("meter_id"), F.lit("2026-03-12 00:00:00").cast("timestamp").alias("timestamp"),
+        (F.col("id") % 17 + 1).cast("double").alias("consumption_kwh"),
+    )
+    columns = ["reading_id", "rolling_average_consumption", "consumption_variance", "peak_usage_ratio", "night_usage_ratio"]
+    split = feats.rolling_features(df, hot_rows=100).select(columns).orderBy("reading_id").collect()
+    assert split == feats.rolling_features(df, hot_rows=None).select(columns).orderBy("reading_id").collect()
+    _, levels = feats.place_in_slots(df, "timestamp", "reading_id", 100)
+    assert levels
+
+
+def test_ranks_keep_rows_without_a_group(spark):
+    from meterlake.operators.theft import stratified_split
+
+    df = spark.range(90).select(F.col("id").alias("reading_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("is_theft"))
+    assert stratified_split(df).count() == 90
+    text = df.withColumn("reading_id", F.concat(F.lit("r"), F.col("reading_id")))
+    assert stratified_split(text).where("is_test = 1").count() == 18
+
+
+def test_weather_joins_one_observation(spark, base_frame):
+    weather = base_frame.where("meter_id = 'M0001'").select("area", "timestamp", F.lit(1.0).alias("gust"))
+    joined = io.enrich_weather(base_frame, weather.unionByName(weather))
+    assert joined.count() == base_frame.count()
