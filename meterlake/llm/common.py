@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,7 +117,18 @@ def parallel(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now rather than when the driver next collects garbage.
+
+    Python's objects let go of the JVM's with the next call, so the JVM is asked twice.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 __all__ = [
-    "BYTE_CODE", "LOWER", "SIGNS", "SPACE", "STEP_BYTES", "cut_lineage", "held_out", "mix", "ngrams", "odd_powers", "parallel", "steps", "table",
+    "BYTE_CODE", "LOWER", "SIGNS", "SPACE", "STEP_BYTES", "cut_lineage", "held_out", "mix", "ngrams", "odd_powers", "parallel", "release", "steps", "table",
     "text_bytes", "words",
 ]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import cut_lineage, mix, ngrams, parallel, steps, table, text_bytes, words
+from meterlake.llm.common import cut_lineage, mix, ngrams, parallel, release, steps, table, text_bytes, words
 
 STEP = 2 << 20
 #: Shingles of the representatives that one task compares at once.
@@ -266,6 +266,8 @@ def groups(docs: DataFrame, link: Link = Link()) -> DataFrame:
     before = F.lag("tag").over(Window.partitionBy("region").orderBy("tag"))
     chained = spread.select(F.col("tag").alias("a"), before.alias("b")).filter("a <> b")
     candidates = components(chained)
+    del spread, chained
+    release(docs.sparkSession)
     labelled = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root")).distinct()
     ids = cut_lineage(sketch(docs, link, False))
     # One document of each set shows it to the comparison.
@@ -278,6 +280,8 @@ def groups(docs: DataFrame, link: Link = Link()) -> DataFrame:
     task = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task")
     texts = docs.join(dealt.select("print", "doc_id", task).hint("shuffle_hash"), "doc_id")
     linked = components(compare(texts, link))
+    del texts
+    release(docs.sparkSession)
     named = ids.join(linked, F.col("print") == F.col("node"), "left")
     named = cut_lineage(named.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "print")).alias("root")))
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))

@@ -19,17 +19,15 @@ id counts as larger than all; an empty table gives no rows; extra columns are ig
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import BYTE_CODE, cut_lineage, mix, parallel, steps, table, text_bytes
+from meterlake.llm.common import BYTE_CODE, cut_lineage, mix, parallel, release, steps, table, text_bytes
 
 LENGTH = 50
 GRAM = 20
@@ -79,17 +77,6 @@ def sampled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return grams[place[first]], text[starts[first]], starts[first], starts[last]
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now rather than when the driver next collects garbage.
-
-    Python's objects let go of the JVM's with the next call, so the JVM is asked twice.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def ranges_of(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values and n+1 bounds of their runs."""
     first = np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1]))) if len(sorted_values) else np.zeros(0, np.int64)
