@@ -490,6 +490,16 @@ def _explain(spark, folder):
     return explain.explain_highest(scored(spark, folder), IMPORTANCES).select("meter_id", "area", "reason_summary")
 
 
+@query(
+    "theft_reasons",
+    over_scored(f""", h AS (SELECT * FROM scored WHERE status = 'Electricity Theft' ORDER BY risk_score DESC, theft_probability DESC, reading_id LIMIT 20)
+, x AS ({reasons_sql('h')}) SELECT reading_id, risk_score, array_to_string(rs, ', ') AS reason FROM x"""),
+)
+def _theft_reasons(spark, folder):
+    queue = explain.top_reasons(rollups.theft_queue(scored(spark, folder)), IMPORTANCES)
+    return queue.select("reading_id", "risk_score", F.col("reason_summary").alias("reason"))
+
+
 @query("alert_eligible", over_scored("SELECT reading_id, risk_level FROM scored WHERE risk_level IN ('High', 'Critical')"))
 def _eligible(spark, folder):
     return alerts.alert_eligible(scored(spark, folder)).select("reading_id", "risk_level")
@@ -525,6 +535,26 @@ def _feed(spark, folder):
     return alerts.alert_feed(scored(spark, folder))
 
 
+@query(
+    "alert_feed_with_drift",
+    over_scored(
+        FEED
+        + """
+, late AS (SELECT max(tick) - INTERVAL 3 DAY AS t FROM scored)
+, shift AS (SELECT abs(avg(CASE WHEN tick >= t THEN theft_probability END) - avg(CASE WHEN tick < t THEN theft_probability END)) AS v FROM scored, late)
+SELECT severity, category, count(*) AS alerts, count(DISTINCT area) AS areas FROM feed GROUP BY 1, 2
+UNION ALL SELECT 'High', 'Data Drift Detected', 1, 1 FROM shift WHERE v >= 0"""
+    ),
+)
+def _feed_with_drift(spark, folder):
+    df = scored(spark, folder)
+    newest = df.agg(F.max("tick") - F.make_dt_interval(F.lit(3))).scalar()
+    late, early = (F.avg(F.when(side, F.col("theft_probability"))) for side in (F.col("tick") >= newest, F.col("tick") < newest))
+    shift = df.agg(F.abs(late - early).alias("prediction_rate_shift")).withColumn("drift_detected", (F.col("prediction_rate_shift") >= 0).cast("int"))
+    feed = alerts.alert_feed(df, shift)
+    return feed.groupBy("severity", "category").agg(F.count("*").alias("alerts"), F.countDistinct("area").alias("areas"))
+
+
 @query("newest_alerts", over_scored(FEED + 'SELECT * FROM feed ORDER BY "timestamp" DESC, severity, category, meter_id LIMIT 16'))
 def _newest(spark, folder):
     return alerts.newest_alerts(alerts.alert_feed(scored(spark, folder)))

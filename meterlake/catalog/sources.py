@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from meterlake.catalog.base import over_readings, over_scored, query, readings, scored
 from meterlake.functions import load
 from meterlake.operators import theft
-from meterlake.plans.session import checkpoint_folder
+from meterlake.plans.session import checkpoint_folder, cut_lineage
 from meterlake.sources import io
 from meterlake.sources.tables import meter_catalog, meter_readings
 
@@ -38,6 +38,25 @@ def _parquet(spark, folder):
     return spark.read.parquet(path).select("reading_id", "event_date", "consumption_kwh")
 
 
+@query("table_writes", over_readings("SELECT reading_id, meter_id, consumption_kwh FROM readings"))
+def _table(spark, folder):
+    path = scratch(spark, "readings-table")
+    io.write_table(readings(spark, folder).limit(10), path)
+    io.write_table(readings(spark, folder), path)
+    return spark.read.parquet(path).select("reading_id", "meter_id", "consumption_kwh")
+
+
+@query("replaced_snapshot", over_readings("SELECT meter_id, count(*) AS readings FROM readings GROUP BY meter_id"))
+def _replaced(spark, folder):
+    name = f"meter_snapshot_{uuid.uuid4().hex}"
+    counts = readings(spark, folder).groupBy("meter_id").agg(F.count("*").alias("readings"))
+    io.save_snapshot(counts.limit(3), name)
+    io.save_snapshot(counts, name)
+    kept = cut_lineage(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 @query(
     "sql_over_tables",
     over_readings("SELECT region, usage_profile, count(*) AS readings, max(consumption_kwh) AS peak FROM readings GROUP BY 1, 2"),

@@ -102,8 +102,9 @@ def stratified_split(
 
 def block_sample(df: DataFrame, block: str, take: int, key: str = "reading_id", seed: int = 42) -> DataFrame:
     """At most `take` rows of every block (a group of meters), in seeded hash order."""
-    ranked = ranked_by_hash(df, block, key, seed)
-    return ranked.where(F.col("_rank") <= take).drop("_rank", "_size")
+    nearest = Window.partitionBy(block).orderBy(order_hash(F.col(key), seed), key)
+    # A top-n per block: every task keeps `take` rows of a block before the exchange.
+    return df.withColumn("_nth", F.row_number().over(nearest)).where(F.col("_nth") <= take).drop("_nth")
 
 
 def class_weights(df: DataFrame, label: str = "is_theft", weight: str = "class_weight") -> DataFrame:

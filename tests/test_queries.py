@@ -61,3 +61,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     df = meter_readings(spark, SF).where(F.col("consumption_kwh") > 100).select("meter_id", "consumption_kwh")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,100.0)" in plan and "ReadSchema: struct<user_id:bigint,value:double>" in plan
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """Started elsewhere and without PYTHONPATH, Python workers still run the package's functions."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from meterlake.plans.session import build_session;"
+        "print('rows', e.queries()['isolation_forest_scores'](build_session('2', 2), '/root/testdata/sf0.001').count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 1000" in done.stdout, done.stderr[-2000:]
