@@ -24,26 +24,31 @@ from meterlake.plans.session import checkpoint_folder
 NEAR = Link(words=5, num=80, den=100)
 
 
+def carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns that a stage works on, and whole rows beside them, so that no further column can clash."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), *names)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that no learned language takes: without a letter, or too far from the nearest language."""
     model = train(docs, ~held_out(F.col("doc_id")))
-    return identify(docs, model).filter(~F.col("rejected")).select(*docs.columns)
+    return identify(carried(docs, "text"), model).filter(~F.col("rejected")).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of every group of near duplicates the document with the smallest id; of repeated rows one."""
     named = groups(docs.select("doc_id", "text"), NEAR)
     kept = named.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    rows = carried(docs, "doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
     copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
     blank = F.trim(F.coalesce("text", F.lit(""))) == ""
-    return rows.withColumn("_copy", F.row_number().over(copies)).filter((F.col("_copy") == 1) | blank).drop("_copy")
+    return rows.withColumn("_copy", F.row_number().over(copies)).filter((F.col("_copy") == 1) | blank).select("_row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item, edited copies included."""
-    found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.size("leaks") == 0).select(*docs.columns)
+    found = find_leaks(carried(docs, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("leaks") == 0).select("_row.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
