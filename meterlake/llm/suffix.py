@@ -205,9 +205,12 @@ def repeated_spans(sent: DataFrame) -> DataFrame:
         least = np.full(len(length), LAST_ID)
         np.minimum.at(least, which, ids)
         size = length - LENGTH + 1
-        ends = np.cumsum(length)
-        at = np.arange(size.sum()) + np.repeat(ends - length - np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        hashes = mix(rolling(data, LENGTH))[at]
+        hashed = []
+        for first, last, piece, ends in steps(data, np.concatenate(([0], np.cumsum(length))), 1 << 20):
+            wide = size[first:last]
+            at = np.arange(wide.sum()) + np.repeat(ends[:-1] - np.cumsum(wide) + wide, wide)
+            hashed.append(mix(rolling(piece, LENGTH))[at])
+        hashes = np.concatenate(hashed)
         own = np.repeat(least, size)
         order = np.lexsort((own, hashes))
         _, bounds = ranges_of(hashes[order])
@@ -276,8 +279,8 @@ def cut_spans(docs: DataFrame, notes: DataFrame, with_bytes: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every document (doc_id, text)."""
     spark = docs.sparkSession
-    parts = 4 * parallel(spark)
-    buckets = 4 * parts
+    # A group sends a row to each bucket it has something for, so neither number is more than memory asks for.
+    parts, buckets = 2 * parallel(spark), 6 * parallel(spark)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
