@@ -10,8 +10,8 @@ The pivots are therefore fixed points of the space of sets, in three levels of r
    cells; sets that agree on a cell are at distance 0 from the same projected pivot and share its region. A cell without shingles counts
    only for sets with so many empty cells that linked sets might agree on those alone. Neighbours in the regions are chained, and the
    chains' components are the candidates.
-3. Within a component (in blocks of pairs where it is large), real pivots: a pivot's distances to all others are computed; those within the
-   link distance join its group; those beyond twice that cannot link to the group; the ring between is compared with the group's members, and
+3. Within a component (in blocks of pairs where it is large), real pivots: a pivot's distances to all that hold one of its rarest shingles
+   are computed (no other is within twice the link distance); those within the link distance join its group; those beyond twice that cannot link to the group; the ring between is compared with the group's members, and
    all outside the group go on to the next pivot.
 
 Copies (equal sets) are one representative throughout. Sets are compared by 64-bit hashes of their shingles; words are runs of bytes
@@ -40,12 +40,16 @@ BLOCK_SHINGLES = 3_000_000
 
 @dataclass(frozen=True)
 class Link:
-    """Sets of `words`-word shingles link when den * |A and B| >= num * |A or B|."""
+    """Sets of `words`-word shingles link when den * |A and B| >= num * |A or B|; the similarity is above one half."""
 
     words: int = 4
     num: int = 85
     den: int = 100
 
+    def __post_init__(self) -> None:
+        if not self.den < 2 * self.num <= 2 * self.den:
+            raise ValueError("the similarity must be above one half and at most one")
+
     def apart(self, a: int, b: int) -> int:
         """Most elements that only one of two linked sets of these sizes can have."""
         return (a + b) * (self.den - self.num) // (self.den + self.num)
@@ -157,13 +161,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class Sets:
-    """Shingle sets laid end to end, for distances of one to many."""
+    """Shingle sets laid end to end, with the places of every shingle, for distances of one to many."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets])
         self.ends = np.concatenate(([0], np.cumsum(self.sizes)))
         distinct, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.mark = np.zeros(len(distinct), bool)
+        order = np.argsort(self.flat, kind="stable")
+        self.holders = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.counts = np.bincount(self.flat, minlength=len(distinct))
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+
+    def near(self, pivot: int, num: int, den: int) -> np.ndarray:
+        """All sets that may have num / den of the union in common with the pivot: those that hold one of its rarest shingles."""
+        own = self.flat[self.ends[pivot] : self.ends[pivot + 1]]
+        needed = -(-num * len(own) // den)  # a set without all but `needed` - 1 of the pivot's shingles is too far
+        rare = own[np.argsort(self.counts[own], kind="stable")[: len(own) - needed + 1]]
+        counts = self.counts[rare]
+        at = np.arange(counts.sum()) + np.repeat(self.first[rare] - np.cumsum(counts) + counts, counts)
+        return np.unique(self.holders[at])
 
     def links(self, pivot: int, others: np.ndarray, link: Link) -> tuple[np.ndarray, np.ndarray]:
         """Of each other set: does it link to the pivot; may it link to one that links to the pivot (distance at most twice)."""
@@ -183,7 +200,7 @@ def metric_join(sets: list[np.ndarray], link: Link) -> np.ndarray:
     n = len(sets)
     if n == 1:
         return np.zeros(1, np.int64)
-    space, group = Sets(sets), np.arange(n)
+    space, group, left = Sets(sets), np.arange(n), np.ones(n, bool)
 
     def find(i: int) -> int:
         while group[i] != i:
@@ -195,22 +212,23 @@ def metric_join(sets: list[np.ndarray], link: Link) -> np.ndarray:
         i, j = find(i), find(j)
         group[max(i, j)] = min(i, j)
 
-    left = np.argsort(space.sizes, kind="stable")
-    while len(left) > 1:
-        pivot, others = int(left[0]), left[1:]
-        # The triangle inequality from the empty set: larger sets are too far from the pivot.
-        reach = int(np.searchsorted(space.sizes[others], space.sizes[pivot] * link.den // (2 * link.num - link.den), "right"))
-        others, beyond = others[:reach], others[reach:]
-        if len(others):
-            near, window = space.links(pivot, others, link)
-            ball, ring = others[near], others[window & ~near]
-            for j in ball:
-                union(pivot, int(j))
-            for r in ring if len(ball) else ():
-                if find(int(r)) != find(pivot) and space.links(int(r), ball, link)[0].any():
-                    union(int(r), pivot)
-            others = others[~near]
-        left = np.concatenate((others, beyond))
+    for pivot in np.argsort(space.sizes, kind="stable").tolist():
+        if not left[pivot]:
+            continue
+        left[pivot] = False
+        # Sets beyond twice the link distance link neither to the pivot nor to its ball.
+        others = space.near(pivot, 2 * link.num - link.den, link.den)
+        others = others[left[others]]
+        if not len(others):
+            continue
+        near, window = space.links(pivot, others, link)
+        ball, ring = others[near], others[window & ~near]
+        for j in ball.tolist():
+            union(pivot, j)
+        left[ball] = False
+        for r in ring.tolist() if len(ball) else ():
+            if find(r) != find(pivot) and space.links(r, ball, link)[0].any():
+                union(r, pivot)
     return np.array([find(i) for i in range(n)])
 
 
