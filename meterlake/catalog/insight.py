@@ -341,7 +341,11 @@ def _regression(spark, folder):
 # ---- drift ---------------------------------------------------------------------------------------
 
 SPLIT = "2024-01-16"
-SHIFTED = ["consumption_kwh", "power", "voltage", "power_factor", "temperature", "wastage_score", "is_theft", "anomaly_score"]
+#: Every numeric column that readings and their cleaned form share.
+SHIFTED = [
+    "latitude", "longitude", "voltage", "current", "power", "consumption_kwh", "power_factor", "temperature", "humidity", "rainfall", "wind_speed",
+    "expected_consumption_kwh", "wastage_score", "seeded_theft_probability", "is_theft", "anomaly_score",
+]
 
 
 def halves(spark, folder):
