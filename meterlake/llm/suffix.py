@@ -281,7 +281,7 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every document (doc_id, text)."""
     spark = docs.sparkSession
     # A group sends a row to each bucket it has something for, so neither number is more than memory asks for.
-    parts, buckets = 2 * parallel(spark), 10 * parallel(spark)
+    parts, buckets = 2 * parallel(spark), 16 * parallel(spark)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
