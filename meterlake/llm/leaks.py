@@ -1,21 +1,25 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: seeds that no copy can be without, then local alignment.
 
-Words are runs of letters and digits in lower case. The corpus frequency of every word 3-gram of the benchmark is counted over all
-documents; an item's seeds are the rarer three quarters of its 3-grams. Where a document holds a seed, the stretch around it that the item could
-cover is aligned with the item word by word (Smith-Waterman: match +2, mismatch and gap -1), so edited copies with changed, dropped or
-added words are scored too. The share of the item's own score that the best alignment reaches is the match's score.
+Words are runs of letters and digits in lower case. Items are aligned with documents word by word (Smith-Waterman: match +2, mismatch and
+gap -1), so edited copies with changed, dropped or added words are scored too; a match's score is the share of the item's own score. An
+item is found at the share `leak`.
+
+Seeds are exact. Let an alignment of a score of T or more have m matched words and e edits: 2 m - e >= T, and the edits cut the matches
+into e + 1 runs at most, so T - m - 1 or more adjacent pairs of the item's words stand in it. With m <= T - 2 that is one pair at least:
+every pair of an item is a seed. Beyond that all but L - T + 1 of the item's L words match: its L - T + 2 words that are rarest in the
+corpus are seeds. Of the documents with a seed only those are aligned that hold enough of the item's words and pairs to reach T.
 
 The benchmark is sent to the tasks in blocks of at most BLOCK_BYTES, and documents are read once more for every block; documents are
 never shuffled, so neither copies nor hot sources matter.
 
-Defined cases: null and empty texts match nothing, nor do items without a word; items shorter than three words are sought by all their
-words; items with the same text each match; repeated rows each get their row; an empty benchmark finds nothing; extra columns stay.
+Defined cases: null and empty texts match nothing, nor do items without a word; items with the same text each match; repeated rows each get their row; an empty benchmark finds nothing; extra columns stay.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,19 +28,17 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import SIGNS, ngrams, steps, table, text_bytes, words
 
-SEED_WORDS = 3
 LEAK = 0.5
 MATCH, MISS, GAP = 2, -1, -1
-#: Words beyond the item's own length on both sides of a seed, as a share of the length.
-SLACK = 0.5
 BLOCK_BYTES = 16 << 20
+#: Hits of seeds, and words looked up, that are in memory at once.
+HITS = 1 << 20
 HIT = "array<struct<item_id:long,score:double,start:int,end:int>>"
 
 
-def item_grams(codes: np.ndarray) -> tuple[np.ndarray, int]:
-    """Hashes of an item's seeds-to-be, and how many words each has."""
-    n = min(SEED_WORDS, len(codes))
-    return (ngrams(codes, n) if n else np.zeros(0, np.uint64)), n
+def least_score(length: int, leak: float = LEAK) -> int:
+    """The score from which an alignment with an item of `length` words counts."""
+    return math.ceil(MATCH * length * leak - 1e-9)
 
 
 def item_codes(texts: list[str | None]) -> list[np.ndarray]:
@@ -102,18 +104,127 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return score, end
 
 
-def stretches(at: np.ndarray, place: np.ndarray, length: int, n_words: int) -> list[tuple[int, int]]:
-    """Stretches of a document that an item of `length` words may cover, from seeds at words `at` and at `place` in the item."""
-    slack = int(SLACK * length) + 2
-    begin = np.maximum(at - place - slack, 0)
-    stop = np.minimum(at - place + length + slack, n_words)
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(set(zip(begin.tolist(), stop.tolist(), strict=True))):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return merged
+def spread(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every list in `which` (lists laid end to end, from `first`): the place in `which`, and the places of its members."""
+    counts = np.diff(first)[which]
+    owner = np.repeat(np.arange(len(which)), counts)
+    return owner, np.arange(len(owner)) + np.repeat(first[which] - np.cumsum(counts) + counts, counts)
+
+
+@dataclass
+class Seeds:
+    """The n-grams that are sought, sorted, and laid end to end the items and places of each."""
+
+    n: int
+    keys: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+
+
+def seeds_of(n: int, grams: list[np.ndarray], items: list[int], places: list[np.ndarray]) -> Seeds:
+    whole = np.concatenate([np.zeros(0, np.uint64), *grams])
+    order = np.argsort(whole, kind="stable")
+    keys, first = np.unique(whole[order], return_index=True)
+    item = np.repeat(np.array(items, np.int64), [len(g) for g in grams])
+    place = np.concatenate([np.zeros(0, np.int64), *places])
+    return Seeds(n, keys, np.append(first, len(whole)), item[order], place[order])
+
+
+def parts(weights: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of entries whose weights sum to `limit` at most, or single entries."""
+    sums, first = np.concatenate(([0], np.cumsum(weights))), 0
+    while first < len(weights):
+        last = max(first + 1, int(np.searchsorted(sums, sums[first] + limit, "right")) - 1)
+        yield first, last
+        first = last
+
+
+@dataclass
+class Block:
+    """A block of items as the tasks need it."""
+
+    ids: list
+    codes: list[np.ndarray]
+    least: np.ndarray
+    pairs: Seeds
+    rare: Seeds
+    vocabulary: np.ndarray  # sorted hashes of all words of the items
+    first: np.ndarray  # of each item, where its words begin in `own`
+    own: np.ndarray  # numbers of the words
+
+    def candidates(self, codes: np.ndarray, ranges: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+        """Document, item, and the stretches of the document that may hold the item."""
+        n_docs, n_items = len(ranges) - 1, len(self.codes)
+        owner = np.repeat(np.arange(n_docs), np.diff(ranges))
+        hits = []
+        for seeds in (self.pairs, self.rare):
+            at, which = found_at(codes, seeds.n, seeds.keys)
+            inside = owner[at] == owner[at + seeds.n - 1]
+            hits.append((at[inside], which[inside]))
+        weights = sum(np.bincount(owner[at], np.diff(s.first)[which], n_docs) for s, (at, which) in zip((self.pairs, self.rare), hits, strict=True))
+        at, which = found_at(codes, 1, self.vocabulary)
+        held = np.unique(owner[at] * len(self.vocabulary) + which)
+        numbers = np.full(len(codes), len(self.vocabulary))
+        numbers[at] = which
+        for a, b in parts(weights, HITS):
+            places, items, words_at, paired = [], [], [], []
+            for seeds, (at, which) in zip((self.pairs, self.rare), hits, strict=True):
+                some = slice(*np.searchsorted(at, (ranges[a], ranges[b])))
+                entry, member = spread(seeds.first, which[some])
+                words_at.append(at[some][entry])
+                items.append(seeds.item[member])
+                places.append(seeds.place[member])
+                paired.append(np.full(len(entry), seeds.n > 1))
+            word, item, place, pair = (np.concatenate(x) for x in (words_at, items, places, paired))
+            keys, back = np.unique(owner[word] * n_items + item, return_inverse=True)
+            if not len(keys):
+                continue
+            found = np.zeros(len(keys), np.int64)
+            for first, last in parts(np.diff(self.first)[keys % n_items], HITS):
+                entry, member = spread(self.first, keys[first:last] % n_items)
+                sought = (keys[first:last] // n_items)[entry] * len(self.vocabulary) + self.own[member]
+                near = np.minimum(np.searchsorted(held, sought), len(held) - 1)
+                found[first:last] = np.bincount(entry[held[near] == sought], minlength=last - first)
+            least = self.least[keys % n_items]
+            enough = (MATCH * found >= least) & (found + np.bincount(back[pair], minlength=len(keys)) >= least - 1)
+            chosen = np.flatnonzero(enough[back])
+            chosen = chosen[np.argsort(back[chosen], kind="stable")]
+            cuts = np.flatnonzero(np.diff(back[chosen])) + 1
+            for own in np.split(chosen, cuts) if len(chosen) else ():
+                doc, one = int(keys[back[own[0]]] // n_items), int(item[own[0]])
+                some = self.stretches(numbers[ranges[doc] : ranges[doc + 1]], one, word[own] - ranges[doc], place[own], pair[own])
+                if some:
+                    yield doc, one, some
+
+    def stretches(self, numbers: np.ndarray, item: int, at: np.ndarray, place: np.ndarray, pair: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches of a document that the item may cover, from seeds at words `at` and at `place` in the item.
+
+        An alignment has 2 L - T edits at most, so it lies that near to where its seeds put the item. m matched words and T - m - 1
+        pairs of them are in there, or m > T - 2 words."""
+        length, least = len(self.codes[item]), int(self.least[item])
+        slack = max(0, MATCH * length - least)
+        begins = np.unique(at - place)
+        begin, stop = np.maximum(begins - slack, 0), np.minimum(begins + length + slack, len(numbers))
+        words_of, times = np.unique(self.own[self.first[item] : self.first[item + 1]], return_counts=True)
+        near = np.minimum(np.searchsorted(words_of, numbers), len(words_of) - 1)
+        where = np.flatnonzero(words_of[near] == numbers)
+        near, cut = near[where], np.searchsorted(where, (begin, stop))
+        merged: list[tuple[int, int]] = []
+        for a, b, first, last in zip(begin.tolist(), stop.tolist(), *cut.tolist(), strict=True):
+            if MATCH * (last - first) < least:
+                continue
+            words_in = int(np.minimum(np.bincount(near[first:last], minlength=len(times)), times).sum())
+            if MATCH * words_in < least:
+                continue
+            pairs_in = len(set(place[pair & (at >= a) & (at < b)].tolist()))
+            if words_in + pairs_in < least - 1:
+                continue
+            if merged and a <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        return merged
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", leak: float = LEAK) -> DataFrame:
@@ -128,53 +239,50 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", leak:
     return out.drop("_words")
 
 
+def block_of(docs: DataFrame, items: list, text: str, leak: float) -> Block | None:
+    codes = item_codes([r[1] for r in items])
+    long = [i for i, own in enumerate(codes) if len(own)]
+    if not long:
+        return None
+    single = {i: ngrams(codes[i], 1) for i in long}
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *single.values()]))
+    numbers = [np.searchsorted(vocabulary, single[i]) if i in single else np.zeros(0, np.int64) for i in range(len(codes))]
+    least = np.array([least_score(len(own), leak) for own in codes], np.int64)
+    times = corpus_counts(docs, {1: vocabulary}, text)[1]
+    rare = [np.argsort(times[numbers[i]], kind="stable")[: max(0, len(codes[i]) - int(least[i]) + 2)] for i in long]
+    pairs = seeds_of(2, [ngrams(codes[i], 2) for i in long], long, [np.arange(len(codes[i]) - 1) for i in long])
+    words_of = seeds_of(1, [single[i][r] for i, r in zip(long, rare, strict=True)], long, rare)
+    first = np.concatenate(([0], np.cumsum([len(x) for x in numbers])))
+    return Block([r[0] for r in items], codes, least, pairs, words_of, vocabulary, first, np.concatenate(numbers))
+
+
 def add_leaks(out: DataFrame, docs: DataFrame, items: list, text: str, leak: float) -> DataFrame:
     """Appends to `leaks` the matches of one block of items."""
-    codes = item_codes([r[1] for r in items])
-    grams = [item_grams(c) for c in codes]
-    sought = {n: np.unique(np.concatenate([g for g, m in grams if m == n])) for n in {m for _, m in grams if m}}
-    if not sought:
+    block = block_of(docs, items, text, leak)
+    if block is None:
         return out
-    times = corpus_counts(docs, sought, text)
-    seeds: dict[int, dict[int, list[tuple[int, int]]]] = {n: defaultdict(list) for n in sought}
-    for item, (own, n) in enumerate(grams):
-        if n:
-            which = np.searchsorted(sought[n], own)
-            rare = np.sort(times[n][which])[3 * (len(own) - 1) // 4]
-            for place in np.flatnonzero(times[n][which] <= rare):
-                seeds[n][int(own[place])].append((item, int(place)))
-    packed = {n: (np.array(sorted(own), np.uint64), [own[k] for k in sorted(own)]) for n, own in seeds.items()}
-    shared = docs.sparkSession.sparkContext.broadcast((packed, codes, [r[0] for r in items]))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(block) | {"pairs": vars(block.pairs), "rare": vars(block.rare)})
     hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
     names, schema = out.columns, out.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_seeds, own_codes, ids = shared.value
+        held = shared.value
+        own_block = Block(**held | {k: Seeds(**held[k]) for k in ("pairs", "rare")})
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             data, offsets = text_bytes(batch.column(len(names) - 2))
             for first, last, part, ends in steps(data, offsets):
                 words_of, _, _, ranges = words(part, ends, SIGNS)
-                owner = np.repeat(np.arange(last - first), np.diff(ranges))
-                pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for n, (keys, places) in own_seeds.items():
-                    at, which = found_at(words_of, n, keys)
-                    for a, w in zip(at.tolist(), which.tolist(), strict=True):
-                        if owner[a] == owner[a + n - 1]:
-                            for item, place in places[w]:
-                                pairs[owner[a], item].append((a, place))
-                for (doc, item), seen in pairs.items():
-                    begin, stop = ranges[doc], ranges[doc + 1]
-                    own = own_codes[item]
-                    where, place = np.array(seen).T
+                for doc, item, some in own_block.candidates(words_of, ranges):
+                    begin, own, least = ranges[doc], own_block.codes[item], int(own_block.least[item])
                     best = (0, 0)
-                    for a, b in stretches(where - begin, place, len(own), int(stop - begin)):
-                        score, end = align(own, words_of[begin + a : begin + b])
+                    for a, b in some:
+                        window = words_of[begin + a : begin + b]
+                        score, end = align(own, window)
                         best = max(best, (score, a + end))
-                    share = best[0] / (MATCH * len(own))
-                    if share >= leak:
+                    if best[0] >= least:
                         hits[first + doc].append(
-                            {"item_id": ids[item], "score": share, "start": max(0, best[1] - len(own)), "end": best[1]}
+                            {"item_id": own_block.ids[item], "score": best[0] / (MATCH * len(own)), "start": max(0, best[1] - len(own)), "end": best[1]}
                         )
             both = [a + b for a, b in zip(batch.column(len(names) - 1).to_pylist(), hits, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(both, hit)], names=names)

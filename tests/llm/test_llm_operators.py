@@ -298,6 +298,34 @@ def test_leaks_find_edited_copies_and_leave_clean_documents(spark):
     assert leaks.find_leaks(docs_of(spark, rows), bench.limit(0)).filter(F.size("leaks") > 0).count() == 0
 
 
+
+def leaks_by_hand(rows, items):
+    cut = lambda t: re.findall("[a-z0-9]+", t.lower())
+    number: dict = {}
+    code = lambda t: np.array([number.setdefault(w, len(number)) for w in cut(t)], np.uint64)
+    coded = {i: code(t) for i, t in items}
+    return {i: {j for j, own in coded.items() if smith_waterman(own, code(t)) >= leaks.least_score(len(own))} for i, t in rows}
+
+
+def test_leaks_equal_alignment_of_all_pairs_at_heavy_edits(spark):
+    rng = random.Random(11)
+    names = [f"n{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(names) for _ in range(n))) for i, n in enumerate([9, 12, 15, 16, 16, 20, 38])]
+    rows = []
+    for i, (_, item) in enumerate(items):
+        own = item.split()
+        # Every fourth word changed; a word put in between all; and random edits.
+        copies = [[w if k % 4 != 3 else "zz" for k, w in enumerate(own)], [x for w in own for x in (w, "zz")]]
+        for share in (0.15, 0.2, 0.25, 0.3):
+            kinds = [[[w], [rng.choice(names)], [], [w, "yy"]] for w in own]
+            copies += [[x for k in kinds for x in (k[0] if rng.random() > share else rng.choice(k[1:]))] for _ in range(2)]
+        fill = lambda: [rng.choice(names) for _ in range(8)]
+        rows += [(100 * i + k, " ".join([*fill(), *c, *fill()])) for k, c in enumerate(copies)]
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in leaks.find_leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == leaks_by_hand(rows, items)
+    assert all(j in got[100 * j] and j in got[100 * j + 1] for j in range(2, len(items)))
+
+
 # Search
 
 
