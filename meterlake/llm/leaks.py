@@ -2,7 +2,8 @@
 
 Words are runs of letters and digits in lower case. Items are aligned with documents word by word (Smith-Waterman: match +2, mismatch and
 gap -1), so edited copies with changed, dropped or added words are scored too; a match's score is the share of the item's own score. An
-item is found at the share `leak`.
+item of LONG words or more is found at the share `leak`; the share rises to 1 for items of SURE words or fewer, and LEAST_WORDS words must
+match. An item of fewer words is no evidence inside a text and is found only where it is the whole document.
 
 Seeds are exact. Let an alignment of a score of T or more have m matched words and e edits: 2 m - e >= T, and the edits cut the matches
 into e + 1 runs at most, so T - m - 1 or more adjacent pairs of the item's words stand in it. With m <= T - 2 that is one pair at least:
@@ -18,6 +19,7 @@ Defined cases: null and empty texts match nothing, nor do items without a word;
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,10 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import SIGNS, ngrams, steps, table, text_bytes, words
 
 LEAK = 0.5
+#: Items of LONG words are found at LEAK, those of SURE words or fewer only whole, in between the share falls evenly.
+SURE, LONG = 8, 15
+#: So many words must match; shorter items count only as whole documents.
+LEAST_WORDS = 6
 MATCH, MISS, GAP = 2, -1, -1
 BLOCK_BYTES = 16 << 20
 #: Hits of seeds, and words looked up, that are in memory at once.
@@ -38,7 +44,8 @@ HIT = "array<struct<item_id:long,score:double,start:int,end:int>>"
 
 def least_score(length: int, leak: float = LEAK) -> int:
     """The score from which an alignment with an item of `length` words counts."""
-    return math.ceil(MATCH * length * leak - 1e-9)
+    fall = min(max((length - SURE) / (LONG - SURE), 0), 1)
+    return max(math.ceil(MATCH * length * (1 - (1 - leak) * fall) - 1e-9), MATCH * LEAST_WORDS)
 
 
 def item_codes(texts: list[str | None]) -> list[np.ndarray]:
@@ -152,6 +159,7 @@ class Block:
     vocabulary: np.ndarray  # sorted hashes of all words of the items
     first: np.ndarray  # of each item, where its words begin in `own`
     own: np.ndarray  # numbers of the words
+    short: dict[bytes, list[int]]
 
     def candidates(self, codes: np.ndarray, ranges: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
         """Document, item, and the stretches of the document that may hold the item."""
@@ -241,19 +249,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", leak:
 
 def block_of(docs: DataFrame, items: list, text: str, leak: float) -> Block | None:
     codes = item_codes([r[1] for r in items])
-    long = [i for i, own in enumerate(codes) if len(own)]
-    if not long:
+    short: dict[bytes, list[int]] = defaultdict(list)
+    for i, own in enumerate(codes):
+        if 0 < len(own) < LEAST_WORDS:
+            short[own.tobytes()].append(i)
+    long = [i for i, own in enumerate(codes) if len(own) >= LEAST_WORDS]
+    if not long and not short:
         return None
     single = {i: ngrams(codes[i], 1) for i in long}
     vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *single.values()]))
     numbers = [np.searchsorted(vocabulary, single[i]) if i in single else np.zeros(0, np.int64) for i in range(len(codes))]
     least = np.array([least_score(len(own), leak) for own in codes], np.int64)
-    times = corpus_counts(docs, {1: vocabulary}, text)[1]
+    times = corpus_counts(docs, {1: vocabulary}, text)[1] if long else np.zeros(0, np.int64)
     rare = [np.argsort(times[numbers[i]], kind="stable")[: max(0, len(codes[i]) - int(least[i]) + 2)] for i in long]
     pairs = seeds_of(2, [ngrams(codes[i], 2) for i in long], long, [np.arange(len(codes[i]) - 1) for i in long])
     words_of = seeds_of(1, [single[i][r] for i, r in zip(long, rare, strict=True)], long, rare)
     first = np.concatenate(([0], np.cumsum([len(x) for x in numbers])))
-    return Block([r[0] for r in items], codes, least, pairs, words_of, vocabulary, first, np.concatenate(numbers))
+    return Block([r[0] for r in items], codes, least, pairs, words_of, vocabulary, first, np.concatenate(numbers), dict(short))
 
 
 def add_leaks(out: DataFrame, docs: DataFrame, items: list, text: str, leak: float) -> DataFrame:
@@ -273,6 +285,10 @@ def add_leaks(out: DataFrame, docs: DataFrame, items: list, text: str, leak: flo
             data, offsets = text_bytes(batch.column(len(names) - 2))
             for first, last, part, ends in steps(data, offsets):
                 words_of, _, _, ranges = words(part, ends, SIGNS)
+                for doc in np.flatnonzero(np.diff(ranges) < LEAST_WORDS).tolist() if own_block.short else ():
+                    n = int(ranges[doc + 1] - ranges[doc])
+                    for item in own_block.short.get(words_of[ranges[doc] : ranges[doc + 1]].tobytes(), ()):
+                        hits[first + doc].append({"item_id": own_block.ids[item], "score": 1.0, "start": 0, "end": n})
                 for doc, item, some in own_block.candidates(words_of, ranges):
                     begin, own, least = ranges[doc], own_block.codes[item], int(own_block.least[item])
                     best = (0, 0)

@@ -326,6 +326,14 @@ def test_leaks_equal_alignment_of_all_pairs_at_heavy_edits(spark):
     assert all(j in got[100 * j] and j in got[100 * j + 1] for j in range(2, len(items)))
 
 
+def test_short_items_do_not_take_clean_documents(spark):
+    items = ["the capital of", "is the capital of", "where the river ends", "the most of all people", "what is the capital of france", "who was the first man in space", "what is the name of the oldest town"]
+    clean = ["Madrid is the capital of Spain, where the river ends", "and what is the capital of Spain", "she was the first man in line", "what is the name of the road", "most of all people"]
+    rows = [*enumerate(clean), (20, "Q: what is the Capital of France? A: Paris"), (21, "The capital of!"), (22, "so, who was the first man in space")]
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in leaks.find_leaks(docs_of(spark, rows), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()}
+    assert got == {**{i: set() for i in range(len(clean))}, 20: {4}, 21: {0}, 22: {5}}
+
+
 # Search
 
 
