@@ -36,13 +36,21 @@ class Rule:
         return hashlib.sha256(f"{self.kind}\n{self.pattern}\n{self.least}\n{self.group}".encode()).hexdigest()[:12]
 
 
+#: A private key from BEGIN to the next END. Without END (before another BEGIN): to the end of the body, that is header lines, long base64 runs
+#: and short ones that end a line or are padded, between white space, quotes and escaped line ends.
+KEY = (
+    r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+    r"""|(?:(?:[\s>|"',]|\\[nrt])*(?:(?:Proc-Type|DEK-Info):[^\n\\]*|[A-Za-z0-9+/]{16,}={0,2}(?:[ \t]+[A-Za-z0-9+/]{1,15}={0,2}(?![A-Za-z0-9+/=]))?"""
+    r"""|[A-Za-z0-9+/]+(?:={1,2}|(?=["']?[ \t\r]*(?:\n|\\[nr]|\Z)))))*)"""
+)
 #: The base kinds, in their order.
 BASE = ("assign", "access", "hex")
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"),
+    Rule("private_key", KEY),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 SPAN = "struct<version:string,kind:string,start:int,end:int>"
