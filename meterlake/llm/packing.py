@@ -46,7 +46,7 @@ class Encoder:
 
     Texts of plain characters are cut into the vocabulary's words (letters; one digit; anything else; 's 't 're 've 'm 'll 'd) on
     byte classes; each distinct word, known by its 64-bit hash, is encoded once, and the ids are gathered. Memory is bounded: all
-    words are forgotten when there are WORD_MEMORY of them.
+    words are forgotten when there are `memory` of them.
     """
 
     def __init__(self, vocabulary: str):
@@ -59,6 +59,7 @@ class Encoder:
         words = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.memory = WORD_MEMORY
         self.forget()
 
     def forget(self) -> None:
@@ -68,7 +69,7 @@ class Encoder:
 
     def learn(self, keys: np.ndarray, words: list[str]) -> None:
         """keys rise and are new."""
-        if len(self.keys) + len(keys) > WORD_MEMORY:
+        if len(self.keys) + len(keys) > self.memory:
             self.forget()
         chunks = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)])
@@ -108,7 +109,7 @@ class Encoder:
         inside = place < len(self.keys)
         new[inside] = self.keys[place[inside]] != distinct[inside]
         if new.any():
-            if len(self.keys) + int(new.sum()) > WORD_MEMORY:
+            if len(self.keys) + int(new.sum()) > self.memory:
                 self.forget()
                 new[:] = True
             at = some[new]

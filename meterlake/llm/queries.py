@@ -16,6 +16,7 @@ from meterlake.llm.search import ORACLE as SEARCH_SQL
 from meterlake.llm.search import op8_search
 from meterlake.llm.secret_scan import op3_secrets
 from meterlake.llm.suffix import op2_suffix
+from meterlake.llm.token_files import op12_token_files
 from meterlake.llm.tokens import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_search,
     "op9_quality_classifier": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_token_files": op12_token_files,
 }
 ORACLES: dict[str, str] = {"op8_exact_topk": SEARCH_SQL}
