@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.chat import op10_chat_formatting
+from meterlake.llm.collocations import op11_collocations
 from meterlake.llm.jaccard import op5_jaccard
 from meterlake.llm.language import op6_language
 from meterlake.llm.leaks import op7_decontamination
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_search,
     "op9_quality_classifier": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_collocations": op11_collocations,
     "op12_token_files": op12_token_files,
 }
 ORACLES: dict[str, str] = {"op8_exact_topk": SEARCH_SQL}
