@@ -81,7 +81,7 @@ def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
                 own.pop(CUT, None)
                 keys = list(own)
                 symbols = np.fromiter([symbol_of(lang, w, seed) for w in keys], np.uint64, len(keys)).view(np.int64)
-                columns = [pa.array([lang] * len(keys)), pa.array(keys, pa.binary()).cast(pa.string()), pa.array(symbols), pa.array(list(own.values()), pa.int64())]
+                columns = [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.binary()).cast(pa.string()), pa.array(symbols), pa.array(list(own.values()), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "symbol", "n"])
             counts.clear()
 
