@@ -16,6 +16,7 @@ from meterlake.llm.quality import op9_quality
 from meterlake.llm.search import ORACLE as SEARCH_SQL
 from meterlake.llm.search import op8_search
 from meterlake.llm.secret_scan import op3_secrets
+from meterlake.llm.spelling import op13_spelling
 from meterlake.llm.suffix import op2_suffix
 from meterlake.llm.token_files import op12_token_files
 from meterlake.llm.tokens import op1_token_counts
@@ -33,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_collocations": op11_collocations,
     "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling,
 }
 ORACLES: dict[str, str] = {"op8_exact_topk": SEARCH_SQL}
