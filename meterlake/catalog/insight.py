@@ -429,12 +429,9 @@ def _report(spark, folder):
     return drift.drift_report(reference, current)
 
 
-KS_COLUMNS = ["consumption_kwh", "voltage", "temperature", "wastage_score"]
-
-
 def ks_sql() -> str:
     union = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, cast({c} AS double) AS v, {o} AS o, {1 - o} AS n FROM {t}" for c in KS_COLUMNS for t, o in (("old_half", 1), ("new_half", 0))
+        f"SELECT '{c}' AS feature, cast({c} AS double) AS v, {o} AS o, {1 - o} AS n FROM {t}" for c in [*SHIFTED, "theft_probability"] for t, o in (("old_half", 1), ("new_half", 0))
     )
     return f"""
 , u AS ({union}), g AS (SELECT feature, v, sum(o) AS o, sum(n) AS n FROM u GROUP BY 1, 2)
@@ -452,7 +449,9 @@ SELECT feature, {round_sql('max(gap)', 6)} AS ks, {round_sql('sum(round_even((q
 
 @query("ks_drift", over_statused(HALVES + ks_sql()))
 def _ks(spark, folder):
-    return drift.distribution_drift(*halves(spark, folder), KS_COLUMNS)
+    columns = [*SHIFTED, "theft_probability"]
+    old, new = halves(spark, folder)
+    return drift.distribution_drift(old.select(columns), new.select(columns))
 
 
 @query(

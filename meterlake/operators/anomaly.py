@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import round_to
-from meterlake.plans.ranges import approximate_quantile, exact_quantile
+from meterlake.plans.radix import exact_quantile
+from meterlake.plans.ranges import approximate_quantile
 
 THRESHOLD_QUANTILE = 0.97
 NODE_SCHEMA = "tree int, node int, feature int, cut double, yes int, no int, depth double"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from meterlake.functions.numeric import exact_avg, with_default
 from meterlake.operators.features import UNITS
 from meterlake.operators.rollups import last_rows
-from meterlake.plans.ranges import approximate_quantile, exact_quantile
+from meterlake.plans.radix import exact_quantile
+from meterlake.plans.ranges import approximate_quantile
 from meterlake.schema import PROFILE_FEATURES, SEGMENTS, SUSPICIOUS
 
 

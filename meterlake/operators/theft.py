@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions.numeric import clip, column_or, count_if, order_hash
-from meterlake.plans.ranges import ranked_by_hash, running_totals
+from meterlake.functions.numeric import clip, column_or, order_hash
+from meterlake.plans.radix import running_totals
+from meterlake.plans.ranges import ranked_by_hash
 from meterlake.schema import ANOMALY, NORMAL, THEFT, THEFT_CUT, WASTAGE, WASTAGE_CUT
 
 
@@ -118,49 +119,56 @@ def class_weights(df: DataFrame, label: str = "is_theft", weight: str = "class_w
     return df.withColumn(weight, F.coalesce(counts["n"] / (F.lit(2e0) * F.nullif(share, F.lit(0e0))), F.lit(1e0)))
 
 
+def _totals(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Counts of rows (`n`) and of real positives (`pos`) per distinct score, with their running totals; one read of the rows."""
+    positive = F.coalesce(F.sum((F.col(label) == 1).cast("bigint")), F.lit(0))
+    return running_totals(df.select(F.col(score).cast("double").alias("_s"), label), "_s", {"n": F.count("*"), "pos": positive})
+
+
+def _auc(r2: Column, positives: Column, rows: Column) -> Column:
+    """From twice the rank sum of the positives; 0.5 with one class."""
+    p, q = positives.cast("double"), (rows - positives).cast("double")
+    return F.coalesce((r2.cast("double") / 2e0 - p * (p + 1e0) / 2e0) / F.nullif(p * q, F.lit(0e0)), F.lit(0.5))
+
+
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by rank sums with average ranks for ties; 0.5 with one class.
+    """Area under the ROC curve by rank sums with average ranks for ties; 0.5 with one class. Rows without a score have no rank."""
+    sums = _totals(df, score, label).agg(_rank_sum().alias("r2"), F.sum("pos").alias("p"), F.sum("n").alias("n"))
+    return sums.select(_auc(F.col("r2"), F.col("p"), F.col("n")).alias("roc_auc"))
 
-    Scores are counted per distinct value first and ranked in value ranges.
-    """
-    positive = (F.col(label) == 1).cast("bigint")
-    totals = running_totals(df, score, {"n": F.count("*"), "pos": F.sum(positive)})
-    # Mean rank of a group of ties ending at cum_n: cum_n - (n - 1) / 2.
-    mean_rank2 = F.lit(2) * F.col("cum_n") - F.col("n") + F.lit(1)
-    sums = totals.agg(
-        F.sum((F.col("pos") * mean_rank2).cast("decimal(38,0)")).alias("r2"),
-        F.sum("pos").alias("p"),
-        F.sum("n").alias("n"),
-    )
-    p = F.col("p").cast("double")
-    q = (F.col("n") - F.col("p")).cast("double")
-    auc = (F.col("r2").cast("double") / 2e0 - p * (p + 1e0) / 2e0) / F.nullif(p * q, F.lit(0e0))
-    return sums.select(F.coalesce(auc, F.lit(0.5)).alias("roc_auc"))
+
+def _rank_sum() -> Column:
+    """Twice the rank sum of the positives: the mean rank of a group of ties ending at cum_n is cum_n - (n - 1) / 2."""
+    return F.sum((F.col("pos") * (F.lit(2) * F.col("cum_n") - F.col("n") + F.lit(1))).cast("decimal(38,0)"))
 
 
 def classifier_metrics(df: DataFrame, probability: str = "theft_probability", label: str = "is_theft", cut: float = 0.5) -> DataFrame:
-    """Accuracy, precision, recall, F1 at the cut, ROC-AUC and the row count, as one row."""
-    hit = F.col(probability) >= cut
-    real = F.col(label) == 1
-    counts = df.agg(
-        count_if(hit & real).alias("tp"),
-        count_if(hit & ~real).alias("fp"),
-        count_if(~hit & real).alias("fn"),
-        count_if(~hit & ~real).alias("tn"),
+    """Accuracy, precision, recall, F1 at the cut, ROC-AUC and the row count, as one row, all from the counts per distinct score."""
+    hit = F.col("_s") >= cut
+    negative = F.col("n") - F.col("pos")
+    count = lambda where, column: F.coalesce(F.sum(F.when(where, column)), F.lit(0))
+    counts = _totals(df.where(F.col(label).isNotNull()), probability, label).agg(
+        count(hit, F.col("pos")).alias("tp"),
+        count(hit, negative).alias("fp"),
+        count(~hit, F.col("pos")).alias("fn"),
+        count(~hit, negative).alias("tn"),
+        _rank_sum().alias("_r2"),
     )
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
 
     def share(num: Column, den: Column) -> Column:
         return F.coalesce(num / F.nullif(den, F.lit(0e0)), F.lit(0e0))
 
+    rows = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     return counts.select(
         "tp",
         "fp",
         "fn",
         "tn",
-        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("rows"),
+        rows.alias("rows"),
         share(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         share(tp, tp + fp).alias("precision"),
         share(tp, tp + fn).alias("recall"),
         share(2e0 * tp, 2e0 * tp + fp + fn).alias("f1_score"),
-    ).withColumn("roc_auc", roc_auc(df, probability, label).scalar())
+        _auc(F.col("_r2"), F.col("tp") + F.col("fn"), rows).alias("roc_auc"),
+    )
