@@ -1,20 +1,28 @@
 """Exact density clustering without comparing all points.
 
-Points fall into grid cells small enough that all points of a cell are neighbours. A cell with
-`min_points` points is one *unit* (all of them core points); the few points of a sparser cell are
-units of their own. Distances are then decided between bounding boxes of units: boxes wholly within
-or wholly beyond `eps` need no look inside, and only the undecided ones are split into smaller boxes,
-round by round. However many points share a cell, it takes part as one box or a few.
+The points are cut into parts by a k-d tree, and each part also receives the points within twice `eps` of its box: so it knows which points
+within `eps` are core, clusters its own points in arrays, and says which clusters the core points at its edges belong to. Parts' clusters
+that share a core point are one; that union is taken once, over clusters, not points.
+
+Where points crowd so that a part cannot be cut down (a hot cell), all goes by boxes instead, with the same result: points fall into grid
+cells small enough that all points of a cell are neighbours; a cell with `min_points` points is one *unit* (all core points), the few points
+of a sparser cell are units of their own; distances are decided between bounding boxes of units, and only undecided boxes are split.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meterlake.plans.ranges import running_totals
+from meterlake.operators.density_parts import cluster_part, squared
+from meterlake.plans.ranges import in_order
 from meterlake.plans.session import cut_lineage
 
 
@@ -121,22 +129,11 @@ def _candidate_pairs(units: DataFrame, d: int, eps: float, fan: int) -> DataFram
     )
 
 
-def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_points: int | None = None) -> DataFrame:
-    """Cluster number (-1 is noise) of every row, as (key, `dbscan_cluster`, `is_core`).
-
-    Clusters are numbered by their smallest core key; a border point takes the smallest number among
-    the clusters that reach it. `min_points` defaults to max(2, min(4, rows // 3)), and fewer than
-    three rows are all noise.
-    """
-    d = len(columns)
-    rows = df.count()
-    if rows < 3:
-        return df.select(key, F.lit(-1).alias("dbscan_cluster"), F.lit(0).alias("is_core"))
-    min_points = min_points or max(2, min(4, rows // 3))
-    dims = [f"x{i}" for i in range(d)]
+def _by_boxes(points: DataFrame, dims: list[str], eps: float, min_points: int) -> DataFrame:
+    """id, dbscan_cluster, is_core: distances are decided between bounding boxes of units, in rounds, so no cell is too full for it."""
+    d = len(dims)
     side = eps / math.sqrt(d) * 0.999999
     limit = eps * eps
-    points = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, dims)])
     points = points.withColumn("cell", _grid(dims, side))
     cells = _boxes(points, ["cell"], dims).where(F.col("n") >= min_points)
     points = cut_lineage(
@@ -186,7 +183,117 @@ def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_p
         undecided = parts.where(~F.col("full")).select(
             *sides, F.col("a_child").alias("a_key"), F.col("b_child").alias("b_key"), "a_n", "b_n"
         )
-    return _labels(points, units, near, min_points).withColumnRenamed("id", key)
+    return _labels(points, units, near, min_points)
+
+
+#: Points that a part is meant to hold, and that it may hold together with those near it; beyond, all go by boxes.
+PART_POINTS, MOST_POINTS = 20_000, 60_000
+#: Sampled points that parts are cut by: it bounds the number of parts, and tells how even they are, never what the result is.
+SPLIT_SAMPLE = 65_536
+
+
+def _split_parts(points: DataFrame, dims: list[str], rows: int) -> list[tuple]:
+    """A k-d tree: inner nodes (axis, cut, left, right), leaves (part,)."""
+    parts = min(-(-rows // PART_POINTS), SPLIT_SAMPLE // 16)
+    if parts == 1:
+        return [(0,)]
+    rate = max(1, rows // SPLIT_SAMPLE)
+    sample = points.where(F.pmod(F.xxhash64("id"), F.lit(rate)) == 0).select(*dims).limit(4 * SPLIT_SAMPLE).toPandas().to_numpy()
+    tree: list[tuple] = [()]
+    work, leaves = [(0, sample, parts)], 0
+    while work:
+        at, held, n = work.pop()
+        widths = held.max(0) - held.min(0) if len(held) else np.zeros(1)
+        axis = int(np.argmax(widths))
+        cut = float(np.quantile(held[:, axis], (n // 2) / n)) if n > 1 and widths[axis] > 0 else None
+        below = held[:, axis] < cut if cut is not None else None
+        if cut is None or not below.any() or below.all():
+            tree[at] = (leaves,)
+            leaves += 1
+            continue
+        tree[at] = (axis, cut, len(tree), len(tree) + 1)
+        work += [(len(tree), held[below], n // 2), (len(tree) + 1, held[~below], n - n // 2)]
+        tree += [(), ()]
+    return tree
+
+
+def _deal(points: DataFrame, dims: list[str], tree: list[tuple], eps: float) -> DataFrame:
+    """Every point for its own part, and for all parts whose box is within twice eps (`close`: within eps)."""
+    shared = points.sparkSession.sparkContext.broadcast(tree)
+    kind = points.schema["id"].dataType
+    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("id", kind), *[T.StructField(c, T.DoubleType()) for c in dims]])
+    schema = schema.add("own", "boolean").add("close", "boolean")
+
+    def run(frames):
+        for frame in frames:
+            values = frame[dims].to_numpy()
+            work = [(0, np.arange(len(frame)), np.ones(len(frame), bool), np.zeros((len(frame), len(dims))))]
+            while work:
+                at, rows, own, gap = work.pop()
+                node = shared.value[at]
+                if len(node) == 1:
+                    out = frame.iloc[rows].copy()
+                    out.insert(0, "part", node[0])
+                    yield out.assign(own=own, close=squared(gap) <= eps * eps)[schema.names]
+                    continue
+                axis, cut, left, right = node
+                here = values[rows, axis]
+                for child, inside, beyond in ((left, here < cut, here - cut), (right, here >= cut, cut - here)):
+                    far = gap.copy()
+                    far[:, axis] = np.where(inside, gap[:, axis], np.maximum(gap[:, axis], beyond))
+                    keep = squared(far) <= 4 * eps * eps
+                    if keep.any():
+                        work.append((child, rows[keep], (own & inside)[keep], far[keep]))
+
+    return points.mapInPandas(run, schema)
+
+
+def _in_parts(dealt: DataFrame, dims: list[str], eps: float, min_points: int) -> DataFrame:
+    """id, dbscan_cluster, is_core: clusters of the parts, tied together once by the core points that several parts see."""
+    kind = dealt.schema["id"].dataType
+    schema = T.StructType([T.StructField("id", kind), T.StructField("label", kind)]).add("core", "boolean").add("own", "boolean")
+
+    def run(frame):
+        rows = cluster_part(frame[dims].to_numpy(), frame["id"].to_numpy(), frame["own"].to_numpy(), frame["close"].to_numpy(), eps, min_points)
+        return pd.DataFrame(rows, columns=schema.names)
+
+    found = cut_lineage(dealt.groupBy("part").applyInPandas(run, schema))
+    cores = found.where("core")
+    labels = cores.select(F.col("label").alias("unit")).distinct()
+    both = cores.groupBy("id").agg(F.min("label").alias("a"), F.collect_set("label").alias("all"))
+    ties = both.where(F.size("all") > 1).select("a", F.explode("all").alias("b")).where("a <> b")
+    roots = connected_components(labels, ties) if not ties.isEmpty() else labels.select("unit", F.col("unit").alias("label"))
+    numbered = in_order(roots.select("label").distinct(), "label").select(F.col("label").alias("_root"), F.col("place").cast("int").alias("number"))
+    numbers = roots.join(numbered, F.col("label") == F.col("_root")).select(F.col("unit").alias("_unit"), "number")
+    return (
+        found.where("own")
+        .join(numbers, F.col("label") == F.col("_unit"), "left")
+        .groupBy("id")
+        .agg(F.coalesce(F.min("number"), F.lit(-1)).alias("dbscan_cluster"), F.max(F.col("core").cast("int")).alias("is_core"))
+    )
+
+
+def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_points: int | None = None) -> DataFrame:
+    """Cluster number (-1 is noise) of every row, as (key, `dbscan_cluster`, `is_core`).
+
+    Clusters are numbered by their smallest core key; a border point takes the smallest number among
+    the clusters that reach it. `min_points` defaults to max(2, min(4, rows // 3)), and fewer than
+    three rows are all noise, as are rows with a null or NaN coordinate.
+    """
+    rows = df.count()
+    if rows < 3:
+        return df.select(key, F.lit(-1).alias("dbscan_cluster"), F.lit(0).alias("is_core"))
+    min_points = min_points or max(2, min(4, rows // 3))
+    dims = [f"x{i}" for i in range(len(columns))]
+    points = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, dims)])
+    placed = points.dropna(subset=dims)  # NaN too
+    dealt = cut_lineage(_deal(placed, dims, _split_parts(placed, dims, rows), eps))
+    fullest = dealt.groupBy("part").count().agg(F.max("count")).first()[0] or 0
+    # A part that many points crowd into whichever way it is cut: the same result box by box.
+    found = _in_parts(dealt, dims, eps, min_points) if fullest <= MOST_POINTS else _by_boxes(placed, dims, eps, min_points)
+    missing = functools.reduce(operator.or_, [F.isnan(x) | F.col(x).isNull() for x in dims])
+    noise = points.where(missing).select("id", F.lit(-1).alias("dbscan_cluster"), F.lit(0).alias("is_core"))
+    return found.unionByName(noise).withColumnRenamed("id", key)
 
 
 def _cores(units: DataFrame, near: DataFrame, min_points: int) -> DataFrame:
@@ -222,9 +329,7 @@ def _labels(points: DataFrame, units: DataFrame, near: DataFrame, min_points: in
     cores = cut_lineage(_cores(units, near, min_points))
     labels = connected_components(cores, _core_edges(near, cores))
     clusters = labels.select("label").distinct()
-    numbered = running_totals(clusters, "label", {"one": F.count("*")}).select(
-        F.col("label").alias("_label"), (F.col("cum_one") - 1).cast("int").alias("number")
-    )
+    numbered = in_order(clusters, "label").select(F.col("label").alias("_label"), F.col("place").cast("int").alias("number"))
     core = labels.join(numbered, F.col("label") == F.col("_label")).select("unit", "number")
     reach = near.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("by")).unionByName(
         near.select(F.col("b_unit").alias("u"), F.col("a_unit").alias("by"))

@@ -1,81 +1,28 @@
-"""Ordered work split into value ranges.
+"""Ranks of all rows without a sort in one task: places within a partition or cell, on top of the counts of those before it.
 
-A rank, a running total or an exact quantile needs all rows in order, and an unpartitioned window
-would pull them into one task. Here the values are cut into cells by bounds taken from a hash
-sample; each cell is ordered on its own and the per-cell totals (a few thousand rows at most) give
-the offsets. The bounds, about `cells` values, are drawn when the plan is built, as Spark itself does
-for a global sort; they decide how even the cells are, never what the result is.
+Exact quantiles and running totals of numbers are in `plans/radix.py`.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import order_hash
+from meterlake.plans.session import cut_lineage
 
-CELLS = 4096
 
-
-def sampled_bounds(df: DataFrame, value: str, cells: int = CELLS, by: str | None = None) -> dict:
-    """Sorted hash sample of about `cells` distinct values, per group of `by` (few groups) if given."""
-    group = F.lit(0) if by is None else F.col(by)
-    known = df.where(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).alias("v"))
-    rates = {r.g: max(1, r.n // cells) for r in known.groupBy("g").agg(F.count("*").alias("n")).collect()}
-    if not rates:
-        return {}
-    rate = F.coalesce(*[F.when(F.col("g") == g, F.lit(n)) for g, n in rates.items()])
-    picked = known.where(F.pmod(F.xxhash64("v"), rate) == 0).distinct().collect()
-    return {g: sorted(r.v for r in picked if r.g == g) for g in rates}
-
-
-def with_cell(df: DataFrame, value: str, cells: int = CELLS, by: str | None = None) -> DataFrame:
-    """Add `_cell`, the number of the value range a row falls into: a binary search per row."""
-    bounds = sampled_bounds(df, value, cells, by)
-    if by is None and dict(df.dtypes)[value] == "double":
-        from pyspark.ml.feature import Bucketizer
-
-        inner = [b for b in bounds.get(0, []) if np.isfinite(b)] or [0.0]
-        search = Bucketizer(splits=[-np.inf, *inner, np.inf], inputCol=value, outputCol="_cell", handleInvalid="keep")
-        return search.transform(df).withColumn("_cell", F.col("_cell").cast("int"))
-    shared = df.sparkSession.sparkContext.broadcast({g: np.array(b, dtype=object if isinstance(b[0], str) else None) for g, b in bounds.items() if b})
-
-    @F.pandas_udf("int")
-    def place(group: pd.Series, values: pd.Series) -> pd.Series:
-        out = np.zeros(len(values), dtype=np.int32)
-        for g, known in shared.value.items():
-            here = (group == g).to_numpy()
-            out[here] = np.searchsorted(known, values[here].to_numpy(), side="right")
-        return pd.Series(out)
-
-    return df.withColumn("_cell", place(F.lit(0) if by is None else F.col(by), F.col(value)))
-
-
-def running_totals(
-    df: DataFrame, value: str, measures: dict[str, Column], cells: int = CELLS, by: str | None = None
-) -> DataFrame:
-    """One row per distinct value: each measure, and `cum_<measure>` up to and including that value.
-
-    `by` names an optional column of few groups (columns of a table, classes) to be kept apart.
-    """
-    keys = [] if by is None else [by]
-    grouped = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[m.alias(n) for n, m in measures.items()])
-    celled = with_cell(grouped, value, cells, by)
-    per_cell = celled.groupBy(*keys, "_cell").agg(*[F.sum(n).alias(n) for n in measures])
-    # At most cells + 1 rows per group.
-    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select(
-        *keys, "_cell", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in measures]
-    )
-    within = Window.partitionBy(*keys, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return celled.join(F.broadcast(offsets), [*keys, "_cell"]).select(
-        *keys,
-        value,
-        *measures,
-        *[(F.sum(n).over(within) + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in measures],
-    )
+def in_order(df: DataFrame, column: str) -> DataFrame:
+    """Add `place`, from 0, in the order of a column without repeats: Spark's ranges, a rank in each, and the sizes of those before."""
+    spark = df.sparkSession
+    ranges = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), column)
+    dealt = cut_lineage(ranges.withColumn("_range", F.spark_partition_id()))
+    # One row per partition.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(column)
+    ranked = dealt.withColumn("_nth", F.row_number().over(inside) - 1).join(F.broadcast(sizes), "_range")
+    return ranked.withColumn("place", F.col("_nth") + F.col("_before")).drop("_range", "_nth", "_before")
 
 
 def ranked_by_hash(df: DataFrame, by: str, key: str, seed: int = 42, cells: int = 4096) -> DataFrame:
@@ -106,39 +53,6 @@ def ranked_by_hash(df: DataFrame, by: str, key: str, seed: int = 42, cells: int
     )
 
 
-def exact_quantile(df: DataFrame, value: str, p: float, cells: int = CELLS) -> DataFrame:
-    """Linearly interpolated quantile as a one-row frame (`quantile`), without sorting the rows.
-
-    Only the cells that hold the two neighbouring ranks are looked at row by row.
-    """
-    rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    celled = with_cell(rows, "_v", cells)
-    total = rows.agg(F.count("_v")).scalar()
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # at most cells + 1 rows
-    per_cell = (
-        celled.groupBy("_cell")
-        .agg(F.count("_v").alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("pos", (total - 1) * F.lit(float(p)))
-        .where((F.col("before") <= F.ceil("pos")) & (F.col("before") + F.col("n") > F.floor("pos")))
-    )
-    wanted = (
-        celled.join(F.broadcast(per_cell.select("_cell", "before", "pos")), "_cell")
-        .groupBy("_cell", "before", "pos", "_v")
-        .agg(F.count("*").alias("n"))
-    )
-    upto = Window.partitionBy("_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = wanted.withColumn("upto", F.col("before") + F.sum("n").over(upto))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("_v")))
-
-    ends = ranked.agg(at(F.floor("pos")).alias("lo"), at(F.ceil("pos")).alias("hi"), F.max("pos").alias("pos"))
-    return ends.select(
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("quantile")
-    )
-
-
 def approximate_quantile(df: DataFrame, value: str, p: float, accuracy: int = 100_000) -> DataFrame:
     """Sketch-based alternative: one pass, bounded memory, rank error about 1/accuracy."""
     return df.agg(F.percentile_approx(value, F.lit(float(p)), F.lit(accuracy)).alias("quantile"))

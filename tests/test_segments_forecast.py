@@ -48,6 +48,35 @@ def test_dbscan_equals_brute_force(spark, name):
     assert [got[i] for i in range(len(points))] == brute_dbscan(points, 1.15, 4)
 
 
+@pytest.mark.parametrize("name", ["blobs", "chain", "clumps", "sparse"])
+def test_dbscan_does_not_depend_on_parts_or_boxes(spark, monkeypatch, name):
+    from meterlake.operators import dbscan as module
+
+    points = point_sets()[name]
+    rows = [(f"k{i:04d}", *map(float, p)) for i, p in enumerate(points)] + [("n1", None, 0.0, 0.0), ("n2", float("nan"), 1.0, 1.0)]
+    df = cut_lineage(spark.createDataFrame(rows, "id string, x double, y double, z double"))
+    expected = [*brute_dbscan(points, 1.15, 4), -1, -1]
+    monkeypatch.setattr(module, "PART_POINTS", 12)
+    tree = module._split_parts(df.select("id", F.col("x").alias("x0"), F.col("y").alias("x1"), F.col("z").alias("x2")).dropna(), ["x0", "x1", "x2"], len(points))
+    assert sum(len(node) == 1 for node in tree) > 1
+    # Many parts; then box by box, also with boxes split down to single pairs.
+    for most, pairs in ((60_000, 4096), (1, 4096), (1, 1)):
+        monkeypatch.setattr(module, "MOST_POINTS", most)
+        monkeypatch.setattr(module, "PAIR_LIMIT", pairs)
+        got = {r.id: (r.dbscan_cluster, r.is_core) for r in dbscan(df, ["x", "y", "z"], "id", 1.15, 4).collect()}
+        assert [got[r[0]][0] for r in rows] == expected
+        near = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2) <= 1.15**2
+        assert [got[r[0]][1] for r in rows] == [*(near.sum(1) >= 4).astype(int).tolist(), 0, 0]
+
+
+def test_dbscan_of_a_hot_cell(spark):
+    rng = np.random.default_rng(5)
+    points = np.concatenate([rng.normal(0, 0.01, (4000, 3)), np.full((2000, 3), 0.5), [[0.0, 0.0, 1.1], [5.0, 5.0, 5.0]]])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id int, x double, y double, z double")
+    got = {r.id: r.dbscan_cluster for r in dbscan(cut_lineage(df), ["x", "y", "z"], "id", 1.15, 4).collect()}
+    assert set(got.values()) == {0, -1} and got[6001] == -1 and got[6000] == 0
+
+
 def test_dbscan_of_two_rows_is_noise(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 0.0)], "id int, x double")
     assert {r.dbscan_cluster for r in dbscan(df, ["x"], "id").collect()} == {-1}
