@@ -1,21 +1,26 @@
 """Exact Jaccard join of shingle sets in their metric space, and the groups of linked documents.
 
 The Jaccard distance is a metric, but distances between unrelated documents are all 1, so pivots drawn from the documents divide nothing.
-The pivots are therefore fixed points of the space of sets, in three levels of recursion, all exact:
+The pivots are therefore fixed points of the space of sets, in four levels of recursion, all exact:
 
-1. Rings around the empty set. For linked sets A and B the symmetric difference is at most (den - num) / (den + num) of |A| + |B|, and by
+1. The corpus as a pivot. A set that links to another one shares num / den of its shingles with it, so with the rest of the corpus. Tasks
+   send shortened hashes of shingles to buckets, which tell how many of a set's shingles occur elsewhere too; sets with too few are done.
+   Shortened hashes can only say "elsewhere too" once too often. A shingle of several sets of a task is sent once, so a line that a third
+   of all documents hold stays small.
+2. Rings around the empty set. For linked sets A and B the symmetric difference is at most (den - num) / (den + num) of |A| + |B|, and by
    the triangle inequality their sizes differ by no more. Ring i holds a stretch of sizes whose partners lie in ring i or i + 1; a document
    is replicated to the window below its own.
-2. Cells of a ring. Shingles are dealt by hash to more cells than the ring's linked pairs can differ in, so linked sets agree on whole
+3. Cells of a ring. Shingles are dealt by hash to more cells than the ring's linked pairs can differ in, so linked sets agree on whole
    cells; sets that agree on a cell are at distance 0 from the same projected pivot and share its region. A cell without shingles counts
    only for sets with so many empty cells that linked sets might agree on those alone. Neighbours in the regions are chained, and the
    chains' components are the candidates.
-3. Within a component (in blocks of pairs where it is large), real pivots: a pivot's distances to all that hold one of its rarest shingles
-   are computed (no other is within twice the link distance); those within the link distance join its group; those beyond twice that cannot link to the group; the ring between is compared with the group's members, and
-   all outside the group go on to the next pivot.
+4. Within a component (in blocks of pairs where it is large), real pivots: a pivot's distances to all that hold one of its rarest shingles
+   are computed (no other is within twice the link distance); those within the link distance join its group; those beyond twice that
+   cannot link to the group; the ring between is compared with the group's members, and all outside the group go on to the next pivot.
 
 Copies (equal sets) are one representative throughout. Sets are compared by 64-bit hashes of their shingles; words are runs of bytes
-other than white space, A-Z lowered.
+other than white space, A-Z lowered. A row is known by its id and the SHA-256 of its text, so rows without an id or with the same one are
+rows of their own everywhere.
 
 Defined cases: null, empty and blank texts have the empty set and are linked with nothing; fewer words than a shingle has are one shingle;
 rows of one id are rows of their own, linked if their texts are; a null id never names a group; an empty table gives no rows.
@@ -34,10 +39,16 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import cut_lineage, mix, ngrams, parallel, release, steps, table, text_bytes, words
 
 STEP = 2 << 20
+#: Shingles that a task sends to the buckets at once.
+SENT_AT_ONCE = 1_000_000
 #: Shingles of the representatives that one task compares at once.
 BLOCK_SHINGLES = 3_000_000
 
 
+#: Stands for a null id inside.
+NO_ID = -(2**63)
+
+
 @dataclass(frozen=True)
 class Link:
     """Sets of `words`-word shingles link when den * |A and B| >= num * |A or B|; the similarity is above one half."""
@@ -115,31 +126,137 @@ def signatures(shingles: np.ndarray, link: Link, edges: list[int]) -> np.ndarray
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def sketch(docs: DataFrame, link: Link, regions: bool) -> DataFrame:
-    """Of every document (doc_id, text) either its set (doc_id, n_shingles, print, tag) or its set's tag and regions."""
-    schema = "tag long, regions array<long>" if regions else "doc_id long, n_shingles long, print binary, tag long"
+def row_keys(docs: DataFrame) -> DataFrame:
+    """doc_id, sha, text: the id (NO_ID for null) and the SHA-256 of the text tell rows apart."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("sha"), text.alias("text"))
+
+
+PRINTS = "doc_id long, sha binary, n_shingles long, print binary, tag long"
+
+
+def prints_of(rows: DataFrame, link: Link) -> DataFrame:
+    """Size, print and tag (the print's first bytes) of the set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = link.rings(1)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(2))
             for first, last, part, own in steps(data, offsets, STEP):
                 sets = shingle_sets(part, own, link.words)
                 prints = [print_of(s) for s in sets]
-                if not regions:
-                    columns = [batch.column(0).slice(first, last - first), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())]
-                    tags = [int.from_bytes(p[:8], "little", signed=True) for p in prints]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(tags, pa.int64())], names=["doc_id", "n_shingles", "print", "tag"])
-                    continue
+                keys = [batch.column(i).slice(first, last - first) for i in (0, 1)]
+                tags = [int.from_bytes(p[:8], "little", signed=True) for p in prints]
+                columns = [*keys, pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array(tags, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sha", "n_shingles", "print", "tag"])
+
+    return rows.mapInArrow(run, PRINTS)
+
+
+SENT = "bucket int, tags binary, counts binary, hashes binary, known binary"
+
+
+def supported(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
+    """tag, n: at least as many shingles as sets with this tag share with others."""
+
+    def flushed(sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        tags = np.frombuffer(b"".join(p[:8] for p in sets), np.int64)
+        sizes = np.array([len(s) for s in sets.values()])
+        flat = mix(np.concatenate(list(sets.values())))
+        owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+        order = np.argsort(flat)
+        flat, owner = flat[order], owner[order]
+        first = np.append(True, flat[1:] != flat[:-1])
+        runs = np.diff(np.append(np.flatnonzero(first), len(flat)))
+        known = np.bincount(owner[np.repeat(runs > 1, runs)], minlength=len(sets))
+        # What several sets here have goes once and for none of them; the last owner number stands for that.
+        flat, owner = flat[first], np.where(runs > 1, len(sets), owner[first])
+        bucket = ((flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((owner, bucket))
+        flat, owner, bucket = flat[order], owner[order], bucket[order]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        out = []
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(bucket)).tolist(), strict=True):
+            own = owner[a:b]
+            edge = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            counts = np.diff(np.append(edge, b - a))
+            some = own[edge] < len(sets)
+            out.append((int(bucket[a]), tags[own[edge[some]]].tobytes(), counts[some].astype("<u4").tobytes(), flat[a:b].astype("<u4").tobytes(), b""))
+        # What is known already rides along with the first bucket.
+        some = np.flatnonzero(known)
+        out[0] = (*out[0][:4], tags[some].tobytes() + known[some].astype("<i8").tobytes())
+        columns = list(zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["bucket", "tags", "counts", "hashes", "known"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}
+        size = 0
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for _, _, part, own in steps(data, offsets, STEP):
+                for s in shingle_sets(part, own, link.words):
+                    if len(s) and (key := print_of(s)) not in held:
+                        held[key] = s
+                        size += len(s)
+                if size >= SENT_AT_ONCE:
+                    yield flushed(held)
+                    held, size = {}, 0
+        if held:
+            yield flushed(held)
+
+    def meet(rows: pa.Table) -> pa.Table:
+        column = lambda name, kind: [np.frombuffer(x, kind) for x in rows.column(name).to_pylist()]
+        tags, hashes = column("tags", "<i8"), column("hashes", "<u4")
+        known = [k.reshape(2, -1) for k in column("known", "<i8")]
+        base = np.cumsum([0] + [len(t) for t in tags])
+        slots = []
+        for counts, own, at in zip(column("counts", "<u4"), hashes, base[:-1].tolist(), strict=True):
+            slot = np.full(len(own), -1, np.int32)
+            named = np.repeat(np.arange(len(counts), dtype=np.int32) + at, counts)
+            slot[: len(named)] = named
+            slots.append(slot)
+        flat, slot = np.concatenate(hashes), np.concatenate(slots)
+        order = np.argsort(flat, kind="stable")
+        flat, slot = flat[order], slot[order]
+        runs = np.diff(np.append(np.flatnonzero(np.append(True, flat[1:] != flat[:-1])), len(flat)))
+        shared = slot[np.repeat(runs > 1, runs)]
+        n = np.bincount(shared[shared >= 0], minlength=int(base[-1]))
+        tag = np.concatenate([np.concatenate(tags)[n > 0], *(k[0] for k in known)])
+        n = np.concatenate([n[n > 0], *(k[1] for k in known)])
+        home = (tag.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(home, kind="stable")
+        edges = np.append(np.flatnonzero(np.append(True, home[order][1:] != home[order][:-1])), len(home)) if len(home) else np.zeros(1, np.int64)
+        parts = [order[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        columns = [pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (tag, n)]
+        return pa.table([pa.array(home[order][edges[:-1]] if len(home) else [], pa.int32()), *columns], names=["home", "tags", "counts"])
+
+    def total(rows: pa.Table) -> pa.Table:
+        tag, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.int64) for c in ("tags", "counts"))
+        order = np.argsort(tag, kind="stable")
+        first = np.flatnonzero(np.append(True, tag[order][1:] != tag[order][:-1]))
+        return pa.table([pa.array(tag[order][first]), pa.array(np.add.reduceat(n[order], first))], names=["tag", "n"])
+
+    sent = rows.select("text").mapInArrow(send, SENT)
+    met = sent.groupBy("bucket").applyInArrow(meet, "home int, tags binary, counts binary")
+    return met.groupBy("home").applyInArrow(total, "tag long, n long")
+
+
+def regions_of(rows: DataFrame, link: Link) -> DataFrame:
+    """tag and regions of the set of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = link.rings(1)
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for _, _, part, own in steps(data, offsets, STEP):
                 # Copies within a step are sent once.
-                some = {p: signatures(s, link, edges) for p, s in dict(zip(prints, sets, strict=True)).items() if p}
+                some = {print_of(s): signatures(s, link, edges) for s in shingle_sets(part, own, link.words) if len(s)}
                 ends = np.concatenate(([0], np.cumsum([len(r) for r in some.values()]))).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.uint64), *some.values()]).view(np.int64)
                 tags = np.frombuffer(b"".join(p[:8] for p in some), np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array(tags), lists], names=["tag", "regions"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return rows.select("text").mapInArrow(run, "tag long, regions array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,8 +363,7 @@ def compare(members: DataFrame, link: Link) -> DataFrame:
         a, b = [], []
         starts = np.flatnonzero(np.concatenate(([True], tasks[1:] != tasks[:-1], [True])))
         for first, last in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            # Rows of an id that has other texts too come with a text that is not the representative's.
-            own = {prints[i]: sets[i] for i in range(first, last) if print_of(sets[i]) == prints[i]}
+            own = {prints[i]: sets[i] for i in range(first, last)}
             names = list(own)
             if len(names) > 1:
                 group = metric_join(list(own.values()), link)
@@ -272,40 +388,50 @@ def compare(members: DataFrame, link: Link) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-#: Stands for a null id inside.
-NO_ID = -(2**63)
-
-
-def groups(docs: DataFrame, link: Link = Link()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document (doc_id, text)."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string"))
+def named_rows(docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """doc_id, sha, n_shingles and root (null for empty sets, else equal for linked ones) of every document (doc_id, text); null ids are NO_ID."""
+    spark = docs.sparkSession
+    rows = row_keys(docs)
+    ids = cut_lineage(prints_of(rows, link))
+    # One document of each set shows it.
+    shown = ids.groupBy("print").agg(F.min(F.struct("doc_id", "sha")).alias("_row"), F.first("n_shingles").alias("n_shingles"), F.first("tag").alias("tag"))
+    near = shown.join(supported(rows, link, parallel(spark)), "tag").filter(F.col("n") * link.den >= link.num * F.col("n_shingles"))
+    near = cut_lineage(near.select("print", "tag", "n_shingles", "_row.*"))
+    release(spark)
+    texts = cut_lineage(rows.join(near, ["doc_id", "sha"]).dropDuplicates(["print"]).select("print", "tag", "n_shingles", "text"))
+    release(spark)
     # Chains: in every region each set is tied to the one before it, so a region of any size costs a row a member.
-    spread = sketch(docs, link, True).select(F.explode("regions").alias("region"), "tag")
+    spread = regions_of(texts, link).select(F.explode("regions").alias("region"), "tag")
     before = F.lag("tag").over(Window.partitionBy("region").orderBy("tag"))
-    chained = spread.select(F.col("tag").alias("a"), before.alias("b")).filter("a <> b")
-    candidates = components(chained)
-    del spread, chained
-    release(docs.sparkSession)
+    candidates = components(spread.select(F.col("tag").alias("a"), before.alias("b")).filter("a <> b"))
     labelled = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root")).distinct()
-    ids = cut_lineage(sketch(docs, link, False))
-    # One document of each set shows it to the comparison.
-    shown = ids.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("tag").alias("node"))
-    members = cut_lineage(shown.filter(F.length("print") > 0).join(labelled, "node").select("print", "doc_id", "n_shingles", "root"))
+    members = cut_lineage(texts.select("print", "n_shingles", F.col("tag").alias("node")).join(labelled, "node").select("print", "n_shingles", "root"))
     total = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int").alias("own")
     # Every pair of blocks of a large candidate group meets in one task; a small group is one block.
-    dealt = members.join(total, "root").select("print", "doc_id", "root", own, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = members.join(total, "root").select("print", "root", own, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     task = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task")
-    texts = docs.join(dealt.select("print", "doc_id", task).hint("shuffle_hash"), "doc_id")
-    linked = components(compare(texts, link))
-    del texts
-    release(docs.sparkSession)
+    linked = components(compare(texts.select("print", "text").join(dealt.select("print", task), "print"), link))
+    release(spark)
     named = ids.join(linked, F.col("print") == F.col("node"), "left")
-    named = cut_lineage(named.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "print")).alias("root")))
+    return cut_lineage(named.select("doc_id", "sha", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "print")).alias("root")))
+
+
+def groups(docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document (doc_id, text)."""
+    named = named_rows(docs, link)
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     smallest = named.filter("root IS NOT NULL").groupBy("root").agg(F.min(known).alias("component_id"))
     return named.join(smallest, "root", "left").select(known.alias("doc_id"), "n_shingles", F.coalesce("component_id", known).alias("component_id"))
 
 
+def first_of_groups(docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """doc_id (NO_ID for null) and sha of the rows to keep: of every group the smallest id's (no id comes last), and all without a shingle."""
+    named = named_rows(docs, link)
+    order = F.struct((F.col("doc_id") == NO_ID).alias("last"), "doc_id", "sha")
+    first = named.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("_row")).select("_row.doc_id", "_row.sha")
+    return first.unionByName(named.filter("root IS NULL").select("doc_id", "sha")).distinct()
+
+
 def op5_jaccard(spark, folder: str) -> DataFrame:
     return groups(table(spark, folder, "documents"))

@@ -42,6 +42,27 @@ def test_stages_catch_what_is_planted_and_keep_clean_documents(spark, tmp_path):
     assert {r.doc_id for r in packed.collect()} == set(kept)
 
 
+def test_rows_without_an_id_or_with_the_same_one_are_rows_of_their_own(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+
+    def near(t):
+        words = t.split()
+        words[30] = f"w{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    bases = [text() for _ in range(25)]
+    x, y, n = text(), text(), text()
+    rows = [(3, x), (7, near(x)), (7, y), (None, n), (None, near(n)), (None, ""), (None, ""), (8, " \n")]
+    rows += [(None, near(bases[i % 25])) for i in range(1000)] + [(9, near(bases[i % 20])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(t for i, t in kept if i in (3, 7)) == sorted([x, y])
+    assert sum(i == 9 for i, _ in kept) == 20  # one of each group, of the rows with an id
+    own = [t for i, t in kept if i is None]
+    assert len(own) == 2 + 1 + 5 and own.count("") == 2
+
+
 def test_pipeline_runs_on_tables_and_on_none(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     rows = corpus_pipeline.run(spark, folder).toPandas()

@@ -239,6 +239,24 @@ def test_jaccard_groups_are_exact(spark, monkeypatch, link, block):
     assert got == groups_by_hand(rows, link.words, link.num, link.den)
 
 
+def test_support_never_misses_a_shared_shingle(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice([2, 9, 40])))) for i in range(120)]
+    rows += [(200 + i, "one line that stands in very many documents " + rows[i][1]) for i in range(60)] + rows[:5]
+    link = jaccard.Link(3, 80, 100)
+    sets = {}
+    for _, t in rows:
+        w = t.split()
+        sets[frozenset(tuple(w[k : k + 3]) for k in range(len(w) - 2)) or frozenset([tuple(w)])] = t
+    tags = {r.text: r.tag for r in jaccard.prints_of(jaccard.row_keys(docs_of(spark, rows)), link).join(docs_of(spark, rows), "doc_id").select("text", "tag").collect()}
+    for at_once in (100, 10**6):
+        monkeypatch.setattr(jaccard, "SENT_AT_ONCE", at_once)
+        got = {r.tag: r.n for r in jaccard.supported(jaccard.row_keys(docs_of(spark, rows).repartition(3)), link, 5).collect()}
+        for own, text in sets.items():
+            shared = sum(any(x in other for other in sets if other is not own) for x in own)
+            assert got.get(tags[text], 0) >= shared
+
+
 def test_components_join_long_chains(spark):
     edges = [(i, i + 1) for i in range(70)] + [(200, 150), (150, 180)]
     got = dict(jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect())
