@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import held_out
-from meterlake.llm.jaccard import Link, groups
+from meterlake.llm.jaccard import NO_ID, Link, first_of_groups
 from meterlake.llm.language import identify, train
 from meterlake.llm.leaks import find_leaks
 from meterlake.llm.packing import pack_documents
@@ -36,12 +36,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of every group of near duplicates the document with the smallest id; of repeated rows one."""
-    named = groups(docs.select("doc_id", "text"), NEAR)
-    kept = named.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = carried(docs, "doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    blank = F.trim(F.coalesce("text", F.lit(""))) == ""
+    """Keeps of every group of near duplicates the row with the smallest id (rows without one come last); of repeated rows one.
+
+    Rows are told apart by id and text, so rows without an id, or with the same one, are kept or go each on its own. Texts without a word
+    are no duplicates and stay, however often they occur.
+    """
+    kept = first_of_groups(docs.select("doc_id", "text"), NEAR).select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
+    text = F.coalesce("text", F.lit(""))
+    rows = carried(docs, "text").withColumn("_id", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(NO_ID))).withColumn("_sha", F.unhex(F.sha2(text, 256)))
+    rows = rows.join(kept, ["_id", "_sha"], "left_semi")
+    copies = Window.partitionBy("_id", "_sha").orderBy(F.lit(0))
+    blank = F.trim(text) == ""
     return rows.withColumn("_copy", F.row_number().over(copies)).filter((F.col("_copy") == 1) | blank).select("_row.*")
 
 
