@@ -194,6 +194,16 @@ def _kmeans(spark, folder):
     )
 
 
+@query("kmeans_fixed_point", over_features(PROFILE + "SELECT meter_id, true AS nearest FROM profile"))
+def _kmeans_rest(spark, folder):
+    """Every meter is assigned to the nearest of the clusters' own means: the chosen run has come to rest."""
+    from meterlake.plans.session import cut_lineage
+
+    z = [f"z_{c}" for c in PROFILE_FEATURES]
+    profiles = cut_lineage(segments.standardise(profile(spark, folder)))
+    return segments.kmeans_at_rest(segments.kmeans_clusters(profiles, z), z).select("meter_id", "nearest")
+
+
 # ---- forecast ------------------------------------------------------------------------------------
 
 SERIES = f"""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,22 +77,86 @@ def standardise(df: DataFrame, columns: list[str] = PROFILE_FEATURES, prefix: st
     return out.withColumns(z).drop("_s")
 
 
+#: Rows that first centres are drawn from; Lloyd's rounds always use all rows.
+SEED_ROWS = 4096
+CENTRE_SCALE = 1e9
+
+
+def _first_centres(sample: np.ndarray, k: int, restarts: int, seed: int) -> np.ndarray:
+    """restarts x k x d: each further centre is drawn with the squared distance to the nearest one so far as its weight."""
+    out = np.empty((restarts, k, sample.shape[1]))
+    for r in range(restarts):
+        pick = np.random.default_rng(seed + r)
+        out[r, 0] = sample[pick.integers(len(sample))]
+        for j in range(1, k):
+            weight = ((sample[:, None, :] - out[r, None, :j]) ** 2).sum(2).min(1)
+            total = weight.sum()
+            out[r, j] = sample[pick.choice(len(sample), p=weight / total) if total > 0 else pick.integers(len(sample))]
+    return out
+
+
+def _distances(columns: list[str], centres: np.ndarray) -> list[Column]:
+    out = []
+    for centre in centres:
+        parts = [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(columns, centre, strict=True)]
+        out.append(functools.reduce(operator.add, parts))
+    return out
+
+
+def _nearest(columns: list[str], centres: np.ndarray) -> Column:
+    """Number and squared distance of the nearest centre, the first of equal ones."""
+    far = F.array(*_distances(columns, centres))
+    return F.struct((F.array_position(far, F.array_min(far)) - 1).cast("int").alias("c"), F.array_min(far).alias("d"))
+
+
+def fit_kmeans(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42) -> np.ndarray | None:
+    """Centres of the cheapest of several runs, at rest: each is the mean of the rows nearest to it. None without rows.
+
+    All restarts advance together: a round is one aggregate of restarts x k rows over a single read of the points, in whole units, so
+    centres do not depend on partitions. A centre without rows stays where it is.
+    """
+    sample = df.orderBy(*[F.hash(*columns)], *columns).limit(SEED_ROWS).select(*columns).toPandas().to_numpy(dtype=float)
+    if not len(sample):
+        return None
+    k = max(1, min(k, len(sample)))
+    centres = _first_centres(sample, k, restarts, seed)
+    active = list(range(restarts))
+    cost = np.zeros(restarts)
+    units = [F.sum(F.rint(F.col(c) * CENTRE_SCALE).cast("decimal(20,0)")).alias(f"s{i}") for i, c in enumerate(columns)]
+    total = F.sum(F.rint(F.col("_at.d") * CENTRE_SCALE).cast("decimal(28,0)")).alias("cost")
+    while active:
+        runs = F.array(*[F.struct(F.lit(r).alias("r"), _nearest(columns, centres[r]).alias("n")) for r in active])
+        spread = df.select(*columns, F.explode(runs).alias("_run")).select(*columns, "_run.r", F.col("_run.n").alias("_at"))
+        rows = spread.groupBy("r", F.col("_at.c").alias("c")).agg(F.count("*").alias("n"), total, *units).collect()
+        moved = centres.copy()
+        cost[active] = 0.0
+        for row in rows:
+            moved[row["r"], row["c"]] = [float(row[f"s{i}"]) / row["n"] / CENTRE_SCALE for i in range(len(columns))]
+            cost[row["r"]] += float(row["cost"]) / CENTRE_SCALE
+        active = [r for r in active if not np.array_equal(moved[r], centres[r])]
+        centres = moved
+    return centres[int(np.argmin(cost))]
+
+
 def kmeans_clusters(df: DataFrame, columns: list[str], k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Add `kmeans_cluster`: the cheapest of several seeded fits, k no greater than the row count."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    present = df.limit(k).count()
-    if present == 0:
-        return df.withColumn("kmeans_cluster", F.lit(0))
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df)
-    training = vectors.select("_v").persist()
-    try:
-        fits = [KMeans(k=max(1, min(k, present)), seed=seed + i, featuresCol="_v").fit(training) for i in range(restarts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        training.unpersist()
-    return best.setPredictionCol("kmeans_cluster").transform(vectors).drop("_v")
+    """Add `kmeans_cluster`: the cheapest of several seeded fits, k no greater than the row count. `df` is read once a round."""
+    centres = fit_kmeans(df, columns, k, restarts, seed)
+    return df.withColumn("kmeans_cluster", F.lit(0) if centres is None else _nearest(columns, centres)["c"])
+
+
+def kmeans_at_rest(df: DataFrame, columns: list[str], cluster: str = "kmeans_cluster") -> DataFrame:
+    """Add `nearest`: is the mean of the row's own cluster as near as any cluster's mean (to 10^-9)?"""
+    means = df.groupBy(F.col(cluster).alias("_c")).agg(*[exact_avg(F.col(c), 9).alias(c) for c in columns])
+    centres = means.agg(F.collect_list(F.struct("_c", F.array(*columns).alias("m")))).scalar()  # k rows
+    own = F.array(*columns)
+
+    def far(mean: Column) -> Column:
+        return F.aggregate(F.zip_with(own, mean, lambda a, b: (a - b) * (a - b)), F.lit(0e0), lambda s, v: s + v)
+
+    measured = df.withColumn("_means", centres)
+    measured = measured.withColumn("_all", F.transform("_means", lambda e: F.struct(far(e["m"]).alias("d"), e["_c"].alias("c"))))
+    mine = F.filter("_all", lambda e: e["c"] == F.col(cluster))[0]["d"]
+    return measured.withColumn("nearest", mine <= F.array_min(F.transform("_all", lambda e: e["d"])) + 1e-9).drop("_all", "_means")
 
 
 def segment_labels(df: DataFrame, cluster: str = "kmeans_cluster", value: str = "avg_consumption_kwh") -> DataFrame:
@@ -112,12 +180,12 @@ def mark_suspicious(df: DataFrame, exact: bool = True) -> DataFrame:
     return out.withColumn("segment", F.when(suspicious, F.lit(SUSPICIOUS)).otherwise(F.col("segment"))).drop("_cut")
 
 
-def cluster_consumers(df: DataFrame, k: int = 3, restarts: int = 10, with_dbscan: bool = False) -> DataFrame:
-    """Profile, cluster and name the meters of a frame with engineered features."""
+def cluster_profiles(profile: DataFrame, k: int = 3, restarts: int = 10, with_dbscan: bool = False) -> DataFrame:
+    """Cluster and name meters from their profiles."""
     from meterlake.operators.dbscan import dbscan
     from meterlake.plans.session import cut_lineage
 
-    profile = cut_lineage(standardise(consumer_profile(df)))
+    profile = cut_lineage(standardise(profile))
     z = [f"z_{c}" for c in PROFILE_FEATURES]
     out = segment_labels(kmeans_clusters(profile, z, k, restarts))
     if with_dbscan:
@@ -125,6 +193,11 @@ def cluster_consumers(df: DataFrame, k: int = 3, restarts: int = 10, with_dbscan
     return mark_suspicious(out).drop(*z)
 
 
+def cluster_consumers(df: DataFrame, k: int = 3, restarts: int = 10, with_dbscan: bool = False) -> DataFrame:
+    """Profile, cluster and name the meters of a frame with engineered features."""
+    return cluster_profiles(consumer_profile(df), k, restarts, with_dbscan)
+
+
 def segment_summary(df: DataFrame) -> DataFrame:
     return (
         df.groupBy("segment")
