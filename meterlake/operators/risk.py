@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import clip, column_or, count_if, exact_avg, round_to, with_default
+from meterlake.plans.session import cut_lineage
 
 # Component weights and the text of each dominant factor, in tie order.
 WEIGHTS = {"anomaly": 0.35, "theft": 0.35, "voltage": 0.15, "night": 0.15}
@@ -40,20 +41,53 @@ def normalised(value: Column, scale: Column, name: str) -> Column:
     return clip((value - scale[f"{name}_shift"]) / scale[f"{name}_span"], 0.0, 1.0)
 
 
-def _with_scale(df: DataFrame, columns: list[str], by: str | None, name: str) -> DataFrame:
-    """Attach the scaling of `columns` over the whole frame or per group of `by`.
+def _scales(limits: dict[str, tuple[Column, Column]]) -> list[Column]:
+    parts = []
+    for name, (low, high) in limits.items():
+        shift, span = _scale(low, high)
+        parts += [shift.alias(f"{name}_shift"), span.alias(f"{name}_span")]
+    return parts
+
+
+THEFT_PARTS, THEFT_WEIGHTS = ("_rf", "_boost", "_theft_raw"), (0.45, 0.55, 0.20)
+
+
+def _blend(parts: list[Column]) -> Column:
+    rf, boost, raw = (F.lit(w) * p for w, p in zip(THEFT_WEIGHTS, parts, strict=True))
+    return rf + boost + raw
+
 
-    For the whole frame it is a subquery of one row. Per group it is an equi-join with an aggregate
-    that holds one row per group; adaptive execution broadcasts it only if it turns out small.
+def _normalisers(work: DataFrame, by: str | None) -> DataFrame:
+    """The scaling of every component, one row per group of `by` (or one), as a struct `_s`.
+
+    One aggregate finds all limits, those of the theft blend too wherever its parts need no scaling (no maximum above 1, as probabilities
+    have it). Only groups with scaled parts are looked at again, by four narrow columns.
     """
-    parts = []
-    for c in columns:
-        shift, span = _scale(F.min(c), F.max(c))
-        parts += [shift.alias(f"{c}_shift"), span.alias(f"{c}_span")]
-    scale = F.struct(*parts).alias(name)
+    keys = [] if by is None else [by]
+    names = ("_anomaly", *THEFT_PARTS, "_voltage", "_night")
+    plain = _blend([clip(F.col(c), 0.0, 1.0) for c in THEFT_PARTS])
+    limits = [f(F.col(c)).alias(f"{n}{c}") for c in names for n, f in (("lo", F.min), ("hi", F.max))]
+    limits += [F.min(plain).alias("lo_theft"), F.max(plain).alias("hi_theft")]
+    first = work.groupBy(*keys).agg(*limits)
+    scaled = F.greatest(*[F.col(f"hi{c}") for c in THEFT_PARTS]) > 1e0
+    struct = F.struct(*_scales({c: (F.col(f"lo{c}"), F.col(f"hi{c}")) for c in names})).alias("_s")
+    again = first.where(scaled).select(*keys, struct)
     if by is None:
-        return df.withColumn(name, df.agg(scale).scalar())
-    return df.join(df.groupBy(by).agg(scale), by)
+        first = cut_lineage(first)  # one row; tells whether the rows must be read again
+        if first.where(scaled).isEmpty():
+            again = None
+        else:
+            again = work.select(*THEFT_PARTS).withColumn("_s", first.select(struct).scalar())
+    else:
+        again = work.select(by, *THEFT_PARTS).join(again, by)
+    ends = {"lo": F.col("lo_theft"), "hi": F.col("hi_theft")}
+    if again is not None:
+        blend = _blend([normalised(F.col(c), F.col("_s"), c) for c in THEFT_PARTS])
+        second = again.groupBy(*keys).agg(F.min(blend).alias("_lo2"), F.max(blend).alias("_hi2"))
+        first = first.join(second, by, "left") if by is not None else first.withColumns({c: second.select(c).scalar() for c in ("_lo2", "_hi2")})
+        ends = {n: F.coalesce(f"_{n}2", c) for n, c in ends.items()}
+    every = {c: (F.col(f"lo{c}"), F.col(f"hi{c}")) for c in names} | {"_theft": (ends["lo"], ends["hi"])}
+    return first.select(*keys, F.struct(*_scales(every)).alias("_s"))
 
 
 def risk_level(score: Column) -> Column:
@@ -68,37 +102,26 @@ def risk_level(score: Column) -> Column:
 def score_risk(df: DataFrame, by: str | None = None, unit: tuple[str, ...] = ()) -> DataFrame:
     """Add `risk_score`, `risk_level` and `risk_summary`.
 
-    `by=None` normalises over the whole frame, `by="timestamp"` over each tick on its own. Columns
-    named in `unit` are known to lie in [0, 1], where normalising changes nothing; their range is not
-    looked for, which spares a second run of whatever computed them.
+    `by=None` normalises over the whole frame, `by="timestamp"` over each tick on its own: one equi-join of the frame with one row per tick,
+    which adaptive execution broadcasts only where it turns out small, and splits where a tick is hot. Columns named in `unit` are known
+    to lie in [0, 1], where normalising changes nothing; their range is not looked for, which spares what computes them.
     """
-    parts = {f"_{k}": clip(column_or(df, c), low=0.0) for k, c in INPUTS.items()}
-    known = {f"_{k}" for k, c in INPUTS.items() if c in unit}
-    theft_parts, other_parts = ("_rf", "_boost", "_theft_raw"), ("_anomaly", "_voltage", "_night")
-
-    def norm(name: str, scale: str) -> Column:
-        if name in known:
-            return clip(F.col(name), 0.0, 1.0)
-        return normalised(F.col(name), F.col(scale), name)
-
-    def ranged(frame: DataFrame, names: tuple[str, ...], scale: str) -> DataFrame:
-        wanted = [c for c in names if c not in known]
-        return _with_scale(frame, wanted, by, scale) if wanted else frame
-
-    work = ranged(df.withColumns(parts), theft_parts, "_r1")
-    rf, boost, raw = (norm(c, "_r1") for c in theft_parts)
-    work = work.withColumn("_theft", F.lit(0.45) * rf + F.lit(0.55) * boost + F.lit(0.20) * raw)
-    work = ranged(ranged(work, ("_theft",), "_r2"), other_parts, "_r3")
-    work = work.withColumns(
-        {"_theft": norm("_theft", "_r2"), **{c: norm(c, "_r3") for c in other_parts}}
-    )
+    work = df.withColumns({f"_{k}": clip(column_or(df, c), low=0.0) for k, c in INPUTS.items()})
+    known = [f"_{k}" for k, c in INPUTS.items() if c in unit]
+    looked = work.withColumns({c: F.lit(0e0) for c in known})
+    scales = _normalisers(looked, by)
+    work = work.withColumn("_s", scales.select("_s").scalar()) if by is None else work.join(scales, by)
+
+    def norm(name: str) -> Column:
+        return clip(F.col(name), 0.0, 1.0) if name in known else normalised(F.col(name), F.col("_s"), name)
+
+    work = work.withColumn("_theft", _blend([norm(c) for c in THEFT_PARTS]))
+    work = work.withColumns({c: norm(c) for c in ("_theft", "_anomaly", "_voltage", "_night")})
     weighted = sum((F.lit(w) * F.col(f"_{k}") for k, w in list(WEIGHTS.items())[1:]), F.lit(0.35) * F.col("_anomaly"))
     top = F.greatest(*[F.col(f"_{k}") for k in WEIGHTS])
     summary = F.coalesce(*[F.when(F.col(f"_{k}") == top, F.lit(text)) for k, text in SUMMARIES.items()])
     out = work.withColumns({"risk_score": round_to(weighted * 1e2, 2), "risk_summary": summary})
-    return out.withColumn("risk_level", risk_level(F.col("risk_score"))).drop(
-        "_r1", "_r2", "_r3", *theft_parts, *[f"_{k}" for k in WEIGHTS]
-    )
+    return out.withColumn("risk_level", risk_level(F.col("risk_score"))).drop("_s", *THEFT_PARTS, *[f"_{k}" for k in WEIGHTS])
 
 
 def risk_by_area(df: DataFrame) -> DataFrame:
