@@ -86,20 +86,20 @@ def accumulated(values: DataFrame, value: str, names: list[str], by: list[str],
     return values.join(placed, [*by, "_d1", "_d2"]).withColumns(total).select(*by, value, *names, *total)
 
 
-def running_totals(df: DataFrame, value: str, measures: dict[str, Column], by: list[str] | None = None) -> DataFrame:
+def running_totals(df: DataFrame, value: str, measures: dict[str, Column], by: list[str] | None = None, bits: int = BITS) -> DataFrame:
     """One row per distinct value: each measure, and `cum_<measure>` up to and including that value; groups of `by` are kept apart."""
     by = by or []
-    return accumulated(counted(df, value, measures, by), value, list(measures), by)
+    return accumulated(counted(df, value, measures, by, bits), value, list(measures), by)
 
 
-def exact_quantile(df: DataFrame, value: str, p: float) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, p: float, bits: int = BITS) -> DataFrame:
     """Linearly interpolated quantile as a one-row frame (`quantile`; null over nothing).
 
     The rows are read once for the counts of all buckets and once for the counts inside the one or two buckets that hold the ranks next to
     the quantile; a third time only where a bucket of the second digit still holds different values. Each time one or two rows of counts
     come to the driver.
     """
-    rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_d1", digit(F.col("_v")))
+    rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_d1", digit(F.col("_v"), bits))
     n = F.count(F.lit(1)).alias("n")
     level = _before(rows.groupBy("_d1").agg(n), [], "_d1", ["n"]).withColumn("_all", F.sum("n").over(Window.partitionBy()))
     at = (F.col("_all") - 1) * F.lit(float(p))
@@ -115,7 +115,7 @@ def exact_quantile(df: DataFrame, value: str, p: float) -> DataFrame:
     position = (first[0]["_all"] - 1) * float(p)
     low, high = int(position // 1), int(-(-position // 1))
     ranks = [F.lit(low), F.lit(high)]
-    inside = rows.where(F.col("_d1").isin([r["_d1"] for r in first])).withColumn("_d2", finer_digit(F.col("_v")))
+    inside = rows.where(F.col("_d1").isin([r["_d1"] for r in first])).withColumn("_d2", finer_digit(F.col("_v"), bits))
     level = inside.groupBy("_d1", "_d2").agg(n, F.min("_v").alias("least"), F.max("_v").alias("most"))
     start = F.coalesce(*[F.when(F.col("_d1") == r["_d1"], F.lit(r["_b_n"])) for r in first])
     second = holders(_before(level.withColumn("_s_n", start), ["_d1"], "_d2", ["n"], {"n": "_s_n"}), ranks)
