@@ -145,6 +145,19 @@ def copies_in(rows: pa.Table, notes: pa.Table) -> np.ndarray:
 SENT = "bucket int, part int, texts binary, lengths binary, which binary, ids binary, numbers binary, starts binary"
 
 
+def small(data: np.ndarray | bytes) -> bytes:
+    """Compressed bytes, for rows between groups and buckets."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(1).compress(data if isinstance(data, bytes) else data.tobytes())
+
+
+def large(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def windows_sent(docs: DataFrame, notes: DataFrame, buckets: int) -> DataFrame:
     """For every bucket and group: the distinct texts of the windows of shared suffixes, and where they occur."""
 
@@ -173,8 +186,8 @@ def windows_sent(docs: DataFrame, notes: DataFrame, buckets: int) -> DataFrame:
             own = text[a:b]
             out.append(
                 (
-                    key, part, b"".join(distinct), np.array([len(x) for x in distinct], "<u4").tobytes(), np.array(which, "<u4").tobytes(),
-                    ids[own].astype("<i8").tobytes(), own.astype("<u4").tobytes(), (begin[a:b] - offsets[own]).astype("<u4").tobytes(),
+                    key, part, small(b"".join(distinct)), small(np.array([len(x) for x in distinct], "<u4")), small(np.array(which, "<u4")),
+                    small(ids[own].astype("<i8")), small(own.astype("<u4")), small((begin[a:b] - offsets[own]).astype("<u4")),
                 )
             )
         columns = list(zip(*out, strict=True)) if out else [[]] * 8
@@ -190,17 +203,18 @@ def repeated_spans(sent: DataFrame) -> DataFrame:
 
     def meet(rows: pa.Table) -> pa.Table:
         n = rows.num_rows
-        lengths = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows.column("lengths").to_pylist()]
+        column = lambda name: [large(x) for x in rows.column(name).to_pylist()]
+        lengths = [np.frombuffer(x, "<u4").astype(np.int64) for x in column("lengths")]
         counts = np.array([len(x) for x in lengths])
         length = np.concatenate(lengths)
-        data = np.frombuffer(b"".join(rows.column("texts").to_pylist()), np.uint8)
+        data = np.frombuffer(b"".join(column("texts")), np.uint8)
         base = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        whiches = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows.column("which").to_pylist()]
+        whiches = [np.frombuffer(x, "<u4").astype(np.int64) for x in column("which")]
         which = np.concatenate([w + b for w, b in zip(whiches, base, strict=True)])
         row = np.repeat(np.arange(n), [len(w) for w in whiches])
-        ids = np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<i8")
-        number = np.frombuffer(b"".join(rows.column("numbers").to_pylist()), "<u4")
-        start = np.frombuffer(b"".join(rows.column("starts").to_pylist()), "<u4").astype(np.int64)
+        ids = np.frombuffer(b"".join(column("ids")), "<i8")
+        number = np.frombuffer(b"".join(column("numbers")), "<u4")
+        start = np.frombuffer(b"".join(column("starts")), "<u4").astype(np.int64)
         # The smallest document of each text, then of each window of all texts.
         least = np.full(len(length), LAST_ID)
         np.minimum.at(least, which, ids)
