@@ -348,6 +348,39 @@ def _regression(spark, folder):
     return forecast.lag_forecast(series, forecast.fit_lag_model(series), cap=1.5)
 
 
+def _lag_unit(i: int) -> str:
+    return "1000000" if i == 0 else f"x{i}"
+
+
+@query(
+    "lag_equations",
+    over_readings(
+        SERIES
+        + """
+, r AS (SELECT series, count(*) AS points, min(consumption_kwh) AS low, max(consumption_kwh) AS high FROM area_series GROUP BY 1)
+, m AS (SELECT series, "timestamp", coalesce((consumption_kwh - low) / nullif(high - low, 0e0), 0e0) AS scaled FROM area_series JOIN r USING (series) WHERE points > 32)
+, l AS (SELECT series, cast(round_even(scaled * 1e6, 0) AS bigint) AS y, """
+        + ", ".join(f"cast(round_even(lag(scaled, {i}) OVER w * 1e6, 0) AS bigint) AS x{i}" for i in range(1, 25))
+        + ' FROM m WINDOW w AS (PARTITION BY series ORDER BY "timestamp") QUALIFY x24 IS NOT NULL)'
+        + "SELECT series, count(*) AS windows, concat_ws(',', "
+        + ", ".join(f"sum(cast({_lag_unit(i)} AS hugeint) * {_lag_unit(j)})" for i in range(25) for j in range(i, 25))
+        + ") AS gram, concat_ws(',', "
+        + ", ".join(f"sum(cast({_lag_unit(i)} AS hugeint) * y)" for i in range(25))
+        + ") AS moments, true AS solved FROM l GROUP BY series HAVING count(*) >= 64"
+    ),
+)
+def _equations(spark, folder):
+    """The sums that a series is fitted from, and whether the coefficients solve their equations."""
+    from meterlake.plans.session import cut_lineage
+
+    series = cut_lineage(hourly(spark, folder, "area"))
+    sums, models = forecast.lag_equations(series), forecast.fit_lag_model(series)
+    solved = sums.select("series", F.lit(None).cast("double").alias("residual")).limit(0) if models is None else models.select("series", "residual")
+    sums = sums.join(solved, "series")
+    text = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c)
+    return sums.select("series", "windows", text("gram"), text("moments"), (F.col("residual") < 1e-9).alias("solved"))
+
+
 # ---- drift ---------------------------------------------------------------------------------------
 
 SPLIT = "2024-01-16"
@@ -548,24 +581,38 @@ def _feed(spark, folder):
     return alerts.alert_feed(scored(spark, folder))
 
 
+#: Comparisons of two parts of the readings: the last three days with all before, and likely thefts with the rest.
+COMPARED = {"late": "tick >= t", "likely": "random_forest_probability >= 5e-1"}
+
+
+def compared_sql(name: str, cond: str) -> str:
+    return f"""
+, {name}_old AS (SELECT s.* FROM scored s, late WHERE NOT ({cond})), {name}_new AS (SELECT s.* FROM scored s, late WHERE {cond})
+, {name} AS ({concept_sql(f'{name}_old', f'{name}_new')})"""
+
+
 @query(
     "alert_feed_with_drift",
     over_scored(
         FEED
-        + """
-, late AS (SELECT max(tick) - INTERVAL 3 DAY AS t FROM scored)
-, shift AS (SELECT abs(avg(CASE WHEN tick >= t THEN theft_probability END) - avg(CASE WHEN tick < t THEN theft_probability END)) AS v FROM scored, late)
-SELECT severity, category, count(*) AS alerts, count(DISTINCT area) AS areas FROM feed GROUP BY 1, 2
-UNION ALL SELECT 'High', 'Data Drift Detected', 1, 1 FROM shift WHERE v >= 0"""
+        + ", late AS (SELECT max(tick) - INTERVAL 3 DAY AS t FROM scored)"
+        + "".join(compared_sql(f"by_{n}", c) for n, c in COMPARED.items())
+        + "SELECT severity, category, '-' AS compared, count(*) AS alerts, count(DISTINCT area) AS areas FROM feed GROUP BY 1, 2"
+        + "".join(f" UNION ALL SELECT 'High', 'Data Drift Detected', '{n}', 1, 1 FROM by_{n} WHERE detected" for n in COMPARED)
     ),
 )
 def _feed_with_drift(spark, folder):
+    """An alert only where the concept drift is one: its own cuts decide, and the two comparisons lie on either side of them."""
     df = scored(spark, folder)
     newest = df.agg(F.max("tick") - F.make_dt_interval(F.lit(3))).scalar()
-    late, early = (F.avg(F.when(side, F.col("theft_probability"))) for side in (F.col("tick") >= newest, F.col("tick") < newest))
-    shift = df.agg(F.abs(late - early).alias("prediction_rate_shift")).withColumn("drift_detected", (F.col("prediction_rate_shift") >= 0).cast("int"))
-    feed = alerts.alert_feed(df, shift)
-    return feed.groupBy("severity", "category").agg(F.count("*").alias("alerts"), F.countDistinct("area").alias("areas"))
+    sides = {"late": F.col("tick") >= newest, "likely": F.col("random_forest_probability") >= 0.5}
+    out = None
+    for name, side in sides.items():
+        report = drift.concept_drift(df.where(~side), df.where(side)).withColumn("drift_detected", F.col("detected").cast("int"))
+        feed = alerts.alert_feed(df, report) if out is None else alerts.alert_feed(df.limit(0), report)
+        named = feed.withColumn("compared", F.when(F.col("category") == "Data Drift Detected", F.lit(name)).otherwise(F.lit("-")))
+        out = named if out is None else out.unionByName(named)
+    return out.groupBy("severity", "category", "compared").agg(F.count("*").alias("alerts"), F.countDistinct("area").alias("areas"))
 
 
 @query("newest_alerts", over_scored(FEED + 'SELECT * FROM feed ORDER BY "timestamp" DESC, severity, category, meter_id LIMIT 16'))

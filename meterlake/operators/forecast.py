@@ -6,10 +6,13 @@ readings behind it; many series are spread by their key.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import exact_sum, round_to
+from meterlake.plans.session import cut_lineage
 
 LOOKBACK = 24
 HISTORY = 168
@@ -154,30 +157,69 @@ def forecast_snapshot(forecasts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def fit_lag_model(series: DataFrame, min_rows: int = 64):
-    """Linear model of the scaled value on its 24 lags, over all series; None with too few windows."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+#: Scaled values in whole units, so that sums of products are whole numbers and do not depend on the order of rows.
+LAG_UNITS = 1e6
+PENALTY = 1e-4
 
+
+def lag_equations(series: DataFrame) -> DataFrame:
+    """series, windows, gram, moments: sums of products of (1, lag 1 .. 24) with themselves and with the scaled value, for each eligible series.
+
+    One mergeable aggregate of whole numbers: `gram` holds the upper triangle row by row (325 sums), `moments` 25.
+    """
     scaled = scale_series(series).where(F.col("eligible"))
-    lags = [f"lag_{i}" for i in range(1, LOOKBACK + 1)]
+    unit = F.lit(LAG_UNITS)
     matrix = lag_matrix(scaled, "scaled")
-    if matrix.limit(min_rows).count() < min_rows:
-        return None
-    vectors = VectorAssembler(inputCols=lags, outputCol="features").transform(matrix.select(*lags, "scaled"))
-    return LinearRegression(featuresCol="features", labelCol="scaled", regParam=1e-4).fit(vectors)
+    terms = [F.lit(int(LAG_UNITS)).cast("bigint"), *[F.rint(F.col(f"lag_{i}") * unit).cast("bigint") for i in range(1, LOOKBACK + 1)]]
+    rows = matrix.select("series", F.array(*terms).alias("x"), F.rint(F.col("scaled") * unit).cast("bigint").alias("y"))
+    n = LOOKBACK + 1
+    gram = [F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(n) for j in range(i, n)]
+    moments = [F.sum(F.col("x")[i] * F.col("y")) for i in range(n)]
+    return rows.groupBy("series").agg(F.count("*").alias("windows"), F.array(*gram).alias("gram"), F.array(*moments).alias("moments"))
+
+
+def _solve(windows: int, gram: list[int], moments: list[int]) -> tuple[np.ndarray, float]:
+    """Coefficients (the constant first) of the ridge equations, and how far they are from holding."""
+    n = len(moments)
+    g = np.zeros((n, n))
+    g[np.triu_indices(n)] = np.array(gram, float) / LAG_UNITS**2 / windows
+    g = g + np.triu(g, 1).T
+    g[np.arange(1, n), np.arange(1, n)] += PENALTY
+    b = np.array(moments, float) / LAG_UNITS**2 / windows
+    weights = np.linalg.solve(g, b)
+    return weights, float(np.abs(g @ weights - b).max())
+
+
+def fit_lag_model(series: DataFrame, min_rows: int = 64) -> DataFrame | None:
+    """A linear model of the scaled value on its 24 lags for each series with `min_rows` windows: series, windows, bias, weights, residual.
+
+    The equations of a series are one row; tasks solve them. `residual` is the largest gap left between their two sides. The models, a row
+    a series, are written; None where no series has enough windows.
+    """
+    schema = "series string, windows long, bias double, weights array<double>, residual double"
+
+    def run(frames):
+        for frame in frames:
+            solved = [_solve(*row) for row in zip(frame["windows"], frame["gram"], frame["moments"], strict=True)]
+            yield pd.DataFrame(
+                {
+                    "series": frame["series"], "windows": frame["windows"], "bias": [float(w[0]) for w, _ in solved],
+                    "weights": [w[1:].tolist() for w, _ in solved], "residual": [r for _, r in solved],
+                },
+            )
+
+    models = cut_lineage(lag_equations(series).where(F.col("windows") >= min_rows).mapInPandas(run, schema))
+    return None if models.isEmpty() else models
 
 
-def lag_forecast(series: DataFrame, model, horizon: int = HORIZON, cap: float | None = None) -> DataFrame:
-    """Recursive forecast of every series with a fitted lag model.
+def lag_forecast(series: DataFrame, model: DataFrame | None, horizon: int = HORIZON, cap: float | None = None) -> DataFrame:
+    """Recursive forecast of every series with its own fitted lag model; a series without one has its seasonal baseline.
 
     The recursion folds over the steps inside the JVM: the state is the window of the last 24 scaled
     values and the list of predictions so far. `cap` limits a scaled prediction to [0, cap].
     """
     if model is None:
         return baseline_forecast(series, horizon=horizon)
-    weights = F.array(*[F.lit(float(c)) for c in model.coefficients])
-    bias = F.lit(float(model.intercept))
     newest_first = (
         history_tail(series, LOOKBACK)
         .groupBy("series")
@@ -185,7 +227,7 @@ def lag_forecast(series: DataFrame, model, horizon: int = HORIZON, cap: float |
     )
 
     def step(state: Column, _) -> Column:
-        dot = F.aggregate(F.zip_with(state["w"], weights, lambda x, c: x * c), bias, lambda acc, v: acc + v)
+        dot = F.aggregate(F.zip_with(state["w"], F.col("weights"), lambda x, c: x * c), F.col("bias"), lambda acc, v: acc + v)
         value = dot if cap is None else F.least(F.greatest(dot, F.lit(0e0)), F.lit(cap))
         return F.struct(
             F.slice(F.concat(F.array(value), state["w"]), 1, LOOKBACK).alias("w"),
@@ -193,9 +235,11 @@ def lag_forecast(series: DataFrame, model, horizon: int = HORIZON, cap: float |
         )
 
     start = F.struct(F.col("w").alias("w"), F.array().cast("array<double>").alias("out"))
-    folded = newest_first.withColumn("p", F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step)["out"])
+    fitted = newest_first.join(model.select("series", "bias", "weights"), "series")
+    folded = fitted.withColumn("p", F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step)["out"])
     ranged = folded.join(series_range(series), "series")
-    return ranged.select("series", "low", "high", F.posexplode("p").alias("i", "s")).select(
+    learned = ranged.select("series", "low", "high", F.posexplode("p").alias("i", "s")).select(
         "series", (F.col("i") + 1).alias("step"), unscale(F.col("s"), F.col("low"), F.col("high")).alias("forecast")
     )
+    return learned.unionByName(baseline_forecast(series.join(model.select("series"), "series", "left_anti"), horizon=horizon))
 

@@ -144,6 +144,26 @@ def test_lag_forecast_follows_a_periodic_series(spark):
     assert forecast.fit_lag_model(series_of(spark, 40)) is None
 
 
+def test_every_series_has_a_lag_model_of_its_own(spark):
+    rng = np.random.default_rng(4)
+    rows, values = [], {}
+    for name, period, hours in (("a", 24, 200), ("b", 7, 150), ("short", 24, 60)):
+        values[name] = np.round(5 + np.sin(np.arange(hours) * 2 * np.pi / period) + rng.normal(0, 0.1, hours), 3)
+        rows += [(name, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(v)) for i, v in enumerate(values[name])]
+    series = spark.createDataFrame(rows, "series string, timestamp timestamp, consumption_kwh double").repartition(5)
+    models = {r.series: r for r in forecast.fit_lag_model(series).collect()}
+    assert set(models) == {"a", "b"}
+    for name, model in models.items():
+        v = values[name]
+        x = (v - v.min()) / (v.max() - v.min())
+        lags = np.stack([np.ones(len(x) - 24), *[x[24 - i : len(x) - i] for i in range(1, 25)]], 1)
+        ridge = np.diag([0.0] + [forecast.PENALTY * len(lags)] * 24)
+        weights = np.linalg.solve(lags.T @ lags + ridge, lags.T @ x[24:])
+        assert model.windows == len(lags) and np.allclose([model.bias, *model.weights], weights, atol=1e-3) and model.residual < 1e-9
+    steps = forecast.lag_forecast(series, forecast.fit_lag_model(series), horizon=30).groupBy("series").count().collect()
+    assert {(r.series, r["count"]) for r in steps} == {("a", 30), ("b", 30), ("short", 30)}
+
+
 def test_drift_shift_border(spark):
     old = spark.createDataFrame([("M1", 1, 100.0, 0)], "meter_id string, timestamp int, x double, is_theft int")
     at = spark.createDataFrame([("M1", 1, 112.0, 0)], old.schema)
