@@ -30,14 +30,14 @@ from meterlake.llm.common import cut_lineage, mix, parallel, table
 LEAST, DEPTH, TOP = 100, 5, 2000
 UNKNOWN = "und"
 #: Words whose suffixes a task sorts and sends at once.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: Suffixes that a group is meant to hold.
 GROUP = 2_000_000
-#: One in so many places is looked at for hot leading words, and a prefix is hot from this share of all at most: so there are never more than
-#: three times 2^20 hot prefixes, 8 bytes each.
-SAMPLED, RAREST_HOT = 256, 1 << 20
+#: One in so many documents, and of these one in so many places, is looked at for hot leading words; and a prefix is hot from this share of
+#: all at most: so there are never more than three times 2^20 hot prefixes, 8 bytes each.
+SAMPLED, RAREST_HOT = 16, 1 << 20
 #: Words and symbols that a task keeps before it hands its counts on.
-KEPT = 1 << 19
+KEPT = 1 << 18
 #: Byte 0xFF never occurs in UTF-8: it stands for the end of a piece.
 CUT = b"\xff"
 TABLE = bytearray(range(256))
@@ -129,10 +129,11 @@ def numbered(batches: Iterator[pa.RecordBatch], seed: int, flush: int) -> Iterat
                 own = numbers[lang] = Numbers(lang, seed, symbols)
             parts.append(np.fromiter(map(own.__getitem__, words), np.int32, len(words)))
             held += len(words)
-            if held >= flush or len(symbols) > KEPT:
+            full = len(symbols) > KEPT
+            if held >= flush or full:
                 yield np.concatenate(parts), np.array(symbols, np.uint64)
                 parts, held = [], 0
-                if len(symbols) > KEPT:
+                if full:
                     symbols, numbers = [0], {}
     if parts:
         yield np.concatenate(parts), np.array(symbols, np.uint64)
@@ -152,11 +153,11 @@ def suffixes(numbers: np.ndarray) -> np.ndarray:
     return out
 
 
-def prefix_hash(symbols: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the prefixes of two, three .. words of suffixes given as symbols (DEPTH x places)."""
-    out, so_far = [], symbols[0] * ODD[0]
-    for d in range(1, len(symbols)):
-        so_far = mix(so_far + symbols[d] * ODD[d])
+def prefix_hash(places: np.ndarray, symbols: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the prefixes of two, three .. words of suffixes (DEPTH x places), from the symbols of their words."""
+    out, so_far = [], symbols[places[0]] * ODD[0]
+    for d in range(1, len(places)):
+        so_far = mix(so_far + symbols[places[d]] * ODD[d])
         out.append(so_far)
     return out
 
@@ -166,8 +167,12 @@ def merged(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys = list(places)
     bits = int(places.max(initial=1)).bit_length()
     if 3 * bits <= 64:  # three words to a key
-        shift, wide = np.uint64(bits), places.astype(np.uint64)
-        keys = [(((wide[0] << shift) | wide[1]) << shift) | wide[2], (wide[3] << shift) | wide[4]]
+        keys = []
+        for first, last in ((0, 3), (3, DEPTH)):
+            key = places[first].astype(np.uint64)
+            for column in places[first + 1 : last]:
+                key = (key << np.uint64(bits)) | column.astype(np.uint64)
+            keys.append(key)
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -184,7 +189,7 @@ def routed(places: np.ndarray, counts: np.ndarray, symbols: np.ndarray, hot: lis
     A suffix goes by its shortest prefix that is not hot, and counts for phrases of that length or more. A hot prefix goes as a suffix of its
     own, with the sum of all that begin with it, and counts for that phrase alone. `places` are in order, so a prefix is a run.
     """
-    hashes = prefix_hash(symbols[places])
+    hashes = prefix_hash(places, symbols)
     home, least = hashes[0].copy(), np.full(places.shape[1], 2, np.uint8)
     extra = []
     open_ = np.ones(places.shape[1], bool)
@@ -236,12 +241,12 @@ def unpacked(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 def hot_prefixes(docs: DataFrame, seed: int, total: int, groups: int, sampled: int = SAMPLED) -> list[np.ndarray]:
     """Sorted hashes of the prefixes of two, three and four words that would take more than half a group's share; sampled places only."""
-    floor = max(total / groups / 2, total / RAREST_HOT) / sampled
+    floor = max(total / groups / 2, total / RAREST_HOT) / sampled**2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for numbers, symbols in numbered(batches, seed, FLUSH):
             places = suffixes(numbers)[:, ::sampled]
-            hashes = prefix_hash(symbols[places])
+            hashes = prefix_hash(places, symbols)
             for d in range(2, DEPTH):
                 own = np.sort(hashes[d - 2][places[d - 1] > 0])
                 if not len(own):
@@ -251,7 +256,7 @@ def hot_prefixes(docs: DataFrame, seed: int, total: int, groups: int, sampled: i
                 columns = [pa.array(np.full(len(at), d, np.int32)), pa.array(own[at].view(np.int64)), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, names=["depth", "prefix", "n"])
 
-    rows = in_languages(docs).mapInArrow(run, "depth int, prefix long, n long").groupBy("depth", "prefix").agg(F.sum("n").alias("n"))
+    rows = in_languages(docs).sample(1 / sampled, seed=1).mapInArrow(run, "depth int, prefix long, n long").groupBy("depth", "prefix").agg(F.sum("n").alias("n"))
     found = rows.filter(F.col("n") >= floor).select("depth", "prefix").collect()
     return [np.sort(np.array([r[1] for r in found if r[0] == d], np.int64).view(np.uint64)) for d in range(2, DEPTH)]
 
@@ -357,12 +362,11 @@ def collocations(docs: DataFrame, floor: int = LEAST, top: int = TOP, group: int
     """Each language's first `top` phrases: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     counts, seed = distinct_symbols(docs)
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    total = sums.agg(F.sum("total")).first()[0] or 0
+    words = cut_lineage(counts.filter(F.col("n") >= floor).join(counts.groupBy("lang").agg(F.sum("n").alias("total")), "lang"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
     groups = max(parallel(spark), -(-total // group))
     hot = hot_prefixes(docs, seed, total, groups)
     phrases = cut_lineage(frequent_phrases(suffix_runs(docs, seed, groups, hot, flush), floor))
-    words = cut_lineage(counts.filter(F.col("n") >= floor).join(sums, "lang"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(phrases, words).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
