@@ -4,69 +4,28 @@ The points are cut into parts by a k-d tree, and each part also receives the poi
 within `eps` are core, clusters its own points in arrays, and says which clusters the core points at its edges belong to. Parts' clusters
 that share a core point are one; that union is taken once, over clusters, not points.
 
-Where points crowd so that a part cannot be cut down (a hot cell), all goes by boxes instead, with the same result: points fall into grid
-cells small enough that all points of a cell are neighbours; a cell with `min_points` points is one *unit* (all core points), the few points
-of a sparser cell are units of their own; distances are decided between bounding boxes of units, and only undecided boxes are split.
+Where points crowd, as they do in many dimensions, what is near a part is nearly everything. Then parts keep their own points only, and pairs
+of parts within `eps` of each other settle the rest: counts of points that are not core by their own part, and ties of clusters.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 import operator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.density_parts import cluster_part, squared
+from meterlake.operators.density_parts import Blocks, cluster_part, least_near, near_counts, point_gaps, squared, ties
 from meterlake.plans.ranges import in_order
 from meterlake.plans.session import cut_lineage
 
 
-# Pairs of boxes with at most this many pairs of points are decided point by point.
-PAIR_LIMIT = 4096
-
-
-def _boxes(points: DataFrame, keys: list, dims: list[str]) -> DataFrame:
-    """Tight bounding box, count and smallest id of every group of points."""
-    return points.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("id").alias("first_id"),
-        F.array(*[F.min(c) for c in dims]).alias("lo"),
-        F.array(*[F.max(c) for c in dims]).alias("hi"),
-    )
-
-
-def _squared(parts: list[Column]) -> Column:
-    total = parts[0] * parts[0]
-    for p in parts[1:]:
-        total = total + p * p
-    return total
-
-
-def _nearest(d: int) -> Column:
-    """Squared distance of the nearest points of boxes a and b."""
-    zero = F.lit(0e0)
-    return _squared(
-        [F.greatest(F.col("b_lo")[i] - F.col("a_hi")[i], F.col("a_lo")[i] - F.col("b_hi")[i], zero) for i in range(d)]
-    )
-
-
-def _farthest(d: int) -> Column:
-    return _squared(
-        [F.greatest(F.col("b_hi")[i] - F.col("a_lo")[i], F.col("a_hi")[i] - F.col("b_lo")[i]) for i in range(d)]
-    )
-
-
-def _grid(dims: list[str], side: float) -> Column:
-    return F.array(*[F.floor(F.col(c) / F.lit(side)) for c in dims])
-
-
-def _side(df: DataFrame, prefix: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    return df.select([F.col(c).alias(f"{prefix}_{c}") for c in df.columns if c not in drop])
+#: Pairs of points that a task compares at once: it bounds memory.
+PAIR_LIMIT = 1 << 16
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -98,103 +57,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = step.select("unit", F.col("next").alias("label"))
 
 
-def _candidate_pairs(units: DataFrame, d: int, eps: float, fan: int) -> DataFrame:
-    """Pairs of units whose boxes come within eps, found over neighbouring coarse cells.
-
-    The neighbourhood is enumerated for occupied coarse cells only, not for units.
-    """
-    placed = units.withColumn("coarse", F.transform("cell", lambda x: F.floor(x / F.lit(fan))))
-    coarse = placed.groupBy("coarse").agg(
-        F.array(*[F.min(F.col("lo")[i]) for i in range(d)]).alias("lo"),
-        F.array(*[F.max(F.col("hi")[i]) for i in range(d)]).alias("hi"),
-    )
-    near = F.array(*[F.lit(x).cast("bigint") for x in (-1, 0, 1)])
-    around = coarse.withColumn("next", F.array().cast("array<bigint>"))
-    for i in range(d):
-        around = around.withColumn("_step", F.explode(near)).withColumn(
-            "next", F.concat("next", F.array(F.col("coarse")[i] + F.col("_step")))
-        )
-    linked = (
-        _side(around, "a", ("_step",))
-        .join(_side(coarse, "b"), F.col("a_next") == F.col("b_coarse"))
-        .where(_nearest(d) <= eps * eps)
-        .select("a_coarse", "b_coarse")
-    )
-    a, b = _side(placed, "a"), _side(placed, "b")
-    return (
-        linked.join(a, "a_coarse")
-        .join(b, "b_coarse")
-        .where((F.col("a_unit") < F.col("b_unit")) & (_nearest(d) <= eps * eps))
-        .drop("a_coarse", "b_coarse")
-    )
-
-
-def _by_boxes(points: DataFrame, dims: list[str], eps: float, min_points: int) -> DataFrame:
-    """id, dbscan_cluster, is_core: distances are decided between bounding boxes of units, in rounds, so no cell is too full for it."""
-    d = len(dims)
-    side = eps / math.sqrt(d) * 0.999999
-    limit = eps * eps
-    points = points.withColumn("cell", _grid(dims, side))
-    cells = _boxes(points, ["cell"], dims).where(F.col("n") >= min_points)
-    points = cut_lineage(
-        points.join(cells.select("cell", F.col("first_id").alias("cell_unit")), "cell", "left").select(
-            "id", *dims, "cell", F.coalesce("cell_unit", "id").alias("unit"), F.col("cell_unit").isNotNull().alias("dense")
-        )
-    )
-    units = cut_lineage(_boxes(points, ["unit", "dense", "cell"], dims).drop("first_id"))
-
-    # Round 0: whole units. `na`, `nb` count points of either side known to be within eps of the other.
-    pairs = cut_lineage(_candidate_pairs(units, d, eps, math.ceil(math.sqrt(d))).withColumn("full", _farthest(d) <= limit))
-    sides = ["a_unit", "b_unit"]
-    near = pairs.where("full").select(*sides, F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
-    undecided = pairs.where(~F.col("full")).select(
-        *sides, F.col("a_cell").alias("a_key"), F.col("b_cell").alias("b_key"), "a_n", "b_n"
-    )
-    level = 0
-    while undecided.limit(1).count() > 0:
-        undecided = cut_lineage(_still_needed(undecided, near, units, min_points))
-        here = points.withColumn("key", _grid(dims, side / 2**level))
-        level += 1
-        finer = here.withColumn("child", _grid(dims, side / 2**level))
-        small = F.col("a_n") * F.col("b_n") <= PAIR_LIMIT
-        ends = undecided.select(F.explode(F.array("a_unit", "b_unit")).alias("unit"), small.alias("small"))
-        singles = here.join(ends.where("small").select("unit").distinct(), "unit", "left_semi").select(
-            "unit", "key", F.lit(1).cast("bigint").alias("n"), F.array(*dims).alias("lo"), F.array(*dims).alias("hi"),
-            F.lit(None).cast("array<bigint>").alias("child"),
-        )
-        boxes = _boxes(
-            finer.join(ends.where(~F.col("small")).select("unit").distinct(), "unit", "left_semi"), ["unit", "key", "child"], dims
-        ).drop("first_id")
-
-        def split(open_pairs: DataFrame, inner: DataFrame) -> DataFrame:
-            return (
-                open_pairs.select(*sides, "a_key", "b_key")
-                .join(_side(inner, "a"), ["a_unit", "a_key"])
-                .join(_side(inner, "b"), ["b_unit", "b_key"])
-                .where(_nearest(d) <= limit)
-                .select(*sides, "a_child", "b_child", "a_n", "b_n", (_farthest(d) <= limit).alias("full"))
-            )
-
-        parts = cut_lineage(
-            split(undecided.where(small), singles).unionByName(split(undecided.where(~small), boxes))
-        )
-        found = parts.where("full").select(*sides, F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
-        near = cut_lineage(near.unionByName(found).groupBy(*sides).agg(F.sum("na").alias("na"), F.sum("nb").alias("nb")))
-        undecided = parts.where(~F.col("full")).select(
-            *sides, F.col("a_child").alias("a_key"), F.col("b_child").alias("b_key"), "a_n", "b_n"
-        )
-    return _labels(points, units, near, min_points)
-
-
 #: Points that a part is meant to hold, and that it may hold together with those near it; beyond, all go by boxes.
 PART_POINTS, MOST_POINTS = 20_000, 60_000
+#: Parts where points crowd: pairs of them are compared, so that a point goes to this many tasks at most, and the pairs share the work.
+CROWDED_PARTS = 32
 #: Sampled points that parts are cut by: it bounds the number of parts, and tells how even they are, never what the result is.
 SPLIT_SAMPLE = 65_536
 
 
-def _split_parts(points: DataFrame, dims: list[str], rows: int) -> list[tuple]:
+def _split_parts(points: DataFrame, dims: list[str], rows: int, parts: int | None = None) -> list[tuple]:
     """A k-d tree: inner nodes (axis, cut, left, right), leaves (part,)."""
-    parts = min(-(-rows // PART_POINTS), SPLIT_SAMPLE // 16)
+    parts = parts or min(-(-rows // PART_POINTS), SPLIT_SAMPLE // 16)
     if parts == 1:
         return [(0,)]
     rate = max(1, rows // SPLIT_SAMPLE)
@@ -261,8 +134,8 @@ def _in_parts(dealt: DataFrame, dims: list[str], eps: float, min_points: int) ->
     cores = found.where("core")
     labels = cores.select(F.col("label").alias("unit")).distinct()
     both = cores.groupBy("id").agg(F.min("label").alias("a"), F.collect_set("label").alias("all"))
-    ties = both.where(F.size("all") > 1).select("a", F.explode("all").alias("b")).where("a <> b")
-    roots = connected_components(labels, ties) if not ties.isEmpty() else labels.select("unit", F.col("unit").alias("label"))
+    same = both.where(F.size("all") > 1).select("a", F.explode("all").alias("b")).where("a <> b")
+    roots = connected_components(labels, same) if not same.isEmpty() else labels.select("unit", F.col("unit").alias("label"))
     numbered = in_order(roots.select("label").distinct(), "label").select(F.col("label").alias("_root"), F.col("place").cast("int").alias("number"))
     numbers = roots.join(numbered, F.col("label") == F.col("_root")).select(F.col("unit").alias("_unit"), "number")
     return (
@@ -273,6 +146,116 @@ def _in_parts(dealt: DataFrame, dims: list[str], eps: float, min_points: int) ->
     )
 
 
+def _by_pairs(points: DataFrame, dims: list[str], rows: int, eps: float, min_points: int) -> DataFrame:
+    """id, dbscan_cluster, is_core: parts without their surroundings; what one part cannot know it asks the parts within eps, a pair at a time.
+
+    A part counts neighbours among its own points. Points that are not core by these alone are counted in the other parts as well. Then each
+    part clusters its core points, pairs of parts say which of their clusters touch, and the other points take the least cluster number among
+    the core points near them. Only boxes of parts (few) come to the driver.
+    """
+    width, pairs = len(dims), PAIR_LIMIT
+    parts = max(1, min(CROWDED_PARTS, -(-rows // max(1, PART_POINTS // 4))))
+    tree = _split_parts(points, dims, rows, parts)
+    own = _deal(points, dims, tree, 0.0).where("own").select("part", "id", *dims)
+    own = cut_lineage(own.withColumn("row", F.monotonically_increasing_id()))
+    xs = ", ".join(f"{x} double" for x in dims)
+
+    def boxes(held: DataFrame):
+        """Part numbers, and corners of their tight boxes."""
+        found = held.groupBy("part").agg(*[F.min(x).alias(f"lo_{x}") for x in dims], *[F.max(x).alias(f"hi_{x}") for x in dims]).collect()
+        table = np.array([list(r) for r in found], dtype=float).reshape(-1, 1 + 2 * width)
+        return table[:, 0].astype(int), table[:, 1 : 1 + width], table[:, 1 + width :]
+
+    def send(held: DataFrame, number: str, to, itself: bool) -> DataFrame:
+        """(part, row, number) with the point for every part whose box is within eps, its own one too if asked; `home` is its own."""
+        names, low, high = to
+
+        def run(frames):
+            for frame in frames:
+                near = point_gaps(frame[dims].to_numpy(), low, high) <= eps * eps
+                if not itself:
+                    near &= frame["home"].to_numpy()[:, None] != names[None, :]
+                i, j = np.nonzero(near)
+                out = frame.iloc[i].copy()
+                out.insert(0, "part", names[j])
+                yield out
+
+        return held.select(F.col("part").alias("home"), "row", F.col(number).cast("bigint").alias(number), *dims).mapInPandas(
+            run, f"part int, home int, row long, {number} long, {xs}"
+        )
+
+    # Neighbours in the own part.
+    def count_own(frame):
+        blocks = Blocks(frame[dims].to_numpy(), eps)
+        counts = np.empty(len(frame), np.int64)
+        counts[blocks.order] = blocks.neighbours()
+        return pd.DataFrame({"row": frame["row"], "part": frame["part"], "n": counts}).join(frame[dims])
+
+    counted = cut_lineage(own.select("part", "row", *dims).groupBy("part").applyInPandas(count_own, f"row long, part int, n long, {xs}"))
+
+    # The others', where they can make a point core.
+    def count_there(asking, held):
+        if not len(asking) or not len(held):
+            return pd.DataFrame({"row": [], "n": []}).astype("int64")
+        return pd.DataFrame({"row": asking["row"], "n": near_counts(asking[dims].to_numpy(), held[dims].to_numpy(), eps, pairs)})
+
+    asking = send(counted.where(F.col("n") < min_points), "n", boxes(counted), False)
+    more = asking.groupBy("part").cogroup(own.select("part", *dims).groupBy("part")).applyInPandas(count_there, "row long, n long")
+    raised = more.groupBy("row").agg(F.sum("n").alias("_more"))
+    total = F.col("n") + F.coalesce("_more", F.lit(0))
+    flagged = counted.join(raised, "row", "left").select("row", "part", *dims, (total >= min_points).alias("core"))
+
+    # Clusters of each part's core points, named by part and place.
+    def cluster_own(frame):
+        core = frame["core"].to_numpy()
+        label = np.full(len(frame), -1, np.int64)
+        if core.any():
+            blocks = Blocks(frame.loc[core, dims].to_numpy(), eps)
+            here = np.empty(len(blocks.order), np.int64)
+            here[blocks.order] = blocks.components(np.ones(len(blocks.order), bool)) + (int(frame["part"].iloc[0]) << 40)
+            label[core] = here
+        return frame[["row", "part", *dims]].assign(cluster=label)
+
+    clustered = cut_lineage(flagged.groupBy("part").applyInPandas(cluster_own, f"row long, part int, {xs}, cluster long"))
+    cores = clustered.where("cluster >= 0")
+    corners = boxes(cores)
+
+    # Clusters that touch, by pairs of parts; each side sends what is within eps of the other's box.
+    def touch(frame):
+        first = (frame["part"] < frame["home"]).to_numpy()
+        a, b = frame[~first], frame[first]
+        found = ties(a[dims].to_numpy(), a["cluster"].to_numpy(), b[dims].to_numpy(), b["cluster"].to_numpy(), eps, pairs) if len(a) and len(b) else []
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    met = send(cores, "cluster", corners, False).withColumns({"_low": F.least("part", "home"), "_high": F.greatest("part", "home")})
+    edges = cut_lineage(met.groupBy("_low", "_high").applyInPandas(touch, "a long, b long").distinct())
+    labels = cores.select(F.col("cluster").alias("unit")).distinct()
+    roots = connected_components(labels, edges) if not edges.isEmpty() else labels.select("unit", F.col("unit").alias("label"))
+
+    # Numbers by the smallest core id.
+    ids = own.select("row", "id")
+    known = cut_lineage(cores.join(roots, F.col("cluster") == F.col("unit")).select("row", "part", *dims, "label"))
+    first = known.join(ids, "row").groupBy("label").agg(F.min("id").alias("_first"))
+    numbers = in_order(first, "_first").select("label", F.col("place").alias("number"))
+    numbered = cut_lineage(known.join(numbers, "label").select("row", "part", *dims, "number"))
+
+    # The least number that reaches a point that is not core.
+    def reach(asking, held):
+        if not len(asking) or not len(held):
+            return pd.DataFrame({"row": [], "number": []}).astype("int64")
+        best = least_near(asking[dims].to_numpy(), held[dims].to_numpy(), held["number"].to_numpy(), eps, pairs)
+        out = pd.DataFrame({"row": asking["row"], "number": best})
+        return out[best < np.iinfo(np.int64).max]
+
+    rest = clustered.where("cluster < 0")
+    asking = send(rest, "cluster", corners, True)
+    border = asking.groupBy("part").cogroup(numbered.select("part", *dims, "number").groupBy("part")).applyInPandas(reach, "row long, number long")
+    outcome = numbered.select("row", "number", F.lit(1).alias("is_core")).unionByName(
+        rest.select("row").join(border.groupBy("row").agg(F.min("number").alias("number")), "row", "left").select("row", "number", F.lit(0).alias("is_core"))
+    )
+    return ids.join(outcome, "row").select("id", F.coalesce("number", F.lit(-1)).cast("int").alias("dbscan_cluster"), "is_core")
+
+
 def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_points: int | None = None) -> DataFrame:
     """Cluster number (-1 is noise) of every row, as (key, `dbscan_cluster`, `is_core`).
 
@@ -287,61 +270,10 @@ def dbscan(df: DataFrame, columns: list[str], key: str, eps: float = 1.15, min_p
     dims = [f"x{i}" for i in range(len(columns))]
     points = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, dims)])
     placed = points.dropna(subset=dims)  # NaN too
-    dealt = cut_lineage(_deal(placed, dims, _split_parts(placed, dims, rows), eps))
+    dealt = _deal(placed, dims, _split_parts(placed, dims, rows), eps)
     fullest = dealt.groupBy("part").count().agg(F.max("count")).first()[0] or 0
-    # A part that many points crowd into whichever way it is cut: the same result box by box.
-    found = _in_parts(dealt, dims, eps, min_points) if fullest <= MOST_POINTS else _by_boxes(placed, dims, eps, min_points)
+    # A part that many points crowd into whichever way it is cut: the same result by pairs of parts.
+    found = _in_parts(dealt, dims, eps, min_points) if fullest <= MOST_POINTS else _by_pairs(placed, dims, rows, eps, min_points)
     missing = functools.reduce(operator.or_, [F.isnan(x) | F.col(x).isNull() for x in dims])
     noise = points.where(missing).select("id", F.lit(-1).alias("dbscan_cluster"), F.lit(0).alias("is_core"))
     return found.unionByName(noise).withColumnRenamed("id", key)
-
-
-def _cores(units: DataFrame, near: DataFrame, min_points: int) -> DataFrame:
-    """Units that are core: dense ones, and points with enough points within eps (themselves included)."""
-    heard = near.select(F.col("a_unit").alias("u"), F.col("nb").alias("c")).unionByName(
-        near.select(F.col("b_unit").alias("u"), F.col("na").alias("c"))
-    )
-    counts = heard.groupBy("u").agg(F.sum("c").alias("c"))
-    joined = units.join(counts, units["unit"] == counts["u"], "left")
-    return joined.where(F.col("dense") | (F.coalesce("c", F.lit(0)) + 1 >= min_points)).select("unit")
-
-
-def _core_edges(near: DataFrame, cores: DataFrame) -> DataFrame:
-    a = cores.select(F.col("unit").alias("a_unit"))
-    b = cores.select(F.col("unit").alias("b_unit"))
-    return near.join(a, "a_unit", "left_semi").join(b, "b_unit", "left_semi").select(
-        F.col("a_unit").alias("a"), F.col("b_unit").alias("b")
-    )
-
-
-def _still_needed(open_pairs: DataFrame, near: DataFrame, units: DataFrame, min_points: int) -> DataFrame:
-    """Undecided pairs that can still change something: not those of two core units which are already
-    near, or already in one component by way of others."""
-    cores = cut_lineage(_cores(units, near, min_points))
-    labels = connected_components(cores, _core_edges(near, cores))
-    a = labels.select(F.col("unit").alias("a_unit"), F.col("label").alias("_la"))
-    b = labels.select(F.col("unit").alias("b_unit"), F.col("label").alias("_lb"))
-    joined = open_pairs.join(a, "a_unit", "left").join(b, "b_unit", "left")
-    return joined.where(~F.coalesce(F.col("_la") == F.col("_lb"), F.lit(False))).drop("_la", "_lb")
-
-
-def _labels(points: DataFrame, units: DataFrame, near: DataFrame, min_points: int) -> DataFrame:
-    cores = cut_lineage(_cores(units, near, min_points))
-    labels = connected_components(cores, _core_edges(near, cores))
-    clusters = labels.select("label").distinct()
-    numbered = in_order(clusters, "label").select(F.col("label").alias("_label"), F.col("place").cast("int").alias("number"))
-    core = labels.join(numbered, F.col("label") == F.col("_label")).select("unit", "number")
-    reach = near.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("by")).unionByName(
-        near.select(F.col("b_unit").alias("u"), F.col("a_unit").alias("by"))
-    )
-    border = (
-        reach.join(core, reach["by"] == core["unit"]).groupBy("u").agg(F.min("number").alias("border"))
-    )
-    joined = points.select("id", F.col("unit").alias("_unit")).join(core, F.col("_unit") == F.col("unit"), "left").join(
-        border, F.col("_unit") == F.col("u"), "left"
-    )
-    return joined.select(
-        "id",
-        F.coalesce("number", "border", F.lit(-1)).alias("dbscan_cluster"),
-        F.col("number").isNotNull().cast("int").alias("is_core"),
-    )

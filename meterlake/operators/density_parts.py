@@ -158,3 +158,90 @@ def cluster_part(points: np.ndarray, ids: np.ndarray, own: np.ndarray, close: np
     alone = np.flatnonzero(wanted)
     alone = alone[~np.isin(alone, [p for p, _ in reached])]
     return rows + [(i, None, False, True) for i in ids[alone].tolist()]
+
+
+def point_gaps(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of every point from every box."""
+    total = 0.0
+    for i in range(points.shape[1]):
+        gap = np.maximum(np.maximum(low[None, :, i] - points[:, None, i], points[:, None, i] - high[None, :, i]), 0.0)
+        total = total + gap * gap
+    return total
+
+
+def _facing(one: Blocks, other: Blocks):
+    """Each box of `one` with the boxes of `other` that are near it as a whole, and those that may be."""
+    for a in range(len(one.low)):
+        gap = np.maximum(np.maximum(other.low - one.high[a], one.low[a] - other.high), 0.0)
+        near = squared(gap) <= one.limit
+        whole = squared(np.maximum(other.high - one.low[a], one.high[a] - other.low)) <= one.limit
+        yield a, np.flatnonzero(near & whole), np.flatnonzero(near & ~whole)
+
+
+def _inside(one: Blocks, a: int, other: Blocks, b: int, pairs: int):
+    """Which points of box b are within eps of the points of box a: rows of `a` by stretches, at most `pairs` pairs (or a row) at once."""
+    theirs, span = other.points[other.span(b)], one.span(a)
+    step = max(1, pairs // len(theirs))
+    for start in range(span.start, span.stop, step):
+        rows = slice(start, min(start + step, span.stop))
+        yield rows, squared(one.points[rows][:, None, :] - theirs[None, :, :]) <= one.limit
+
+
+def near_counts(asking: np.ndarray, points: np.ndarray, eps: float, pairs: int) -> np.ndarray:
+    """How many of the points are within eps of each asking one."""
+    one, other = Blocks(asking, eps), Blocks(points, eps)
+    counts, sizes = np.zeros(len(asking), np.int64), np.diff(other.bounds)
+    for a, whole, some in _facing(one, other):
+        counts[one.span(a)] += sizes[whole].sum()
+        for b in some.tolist():
+            for rows, inside in _inside(one, a, other, b, pairs):
+                counts[rows] += inside.sum(1)
+    out = np.empty_like(counts)
+    out[one.order] = counts
+    return out
+
+
+def least_near(asking: np.ndarray, points: np.ndarray, numbers: np.ndarray, eps: float, pairs: int) -> np.ndarray:
+    """The smallest number of a point within eps of each asking one; the greatest integer where there is none."""
+    one, other = Blocks(asking, eps), Blocks(points, eps)
+    none = np.iinfo(np.int64).max
+    best, numbers = np.full(len(asking), none), numbers[other.order]
+    smallest = np.minimum.reduceat(numbers, other.bounds[:-1]) if len(points) else numbers
+    for a, whole, some in _facing(one, other):
+        if len(whole):
+            best[one.span(a)] = np.minimum(best[one.span(a)], smallest[whole].min())
+        for b in some.tolist():
+            if smallest[b] >= best[one.span(a)].max():
+                continue
+            for rows, inside in _inside(one, a, other, b, pairs):
+                best[rows] = np.minimum(best[rows], np.where(inside, numbers[other.span(b)][None, :], none).min(1))
+    out = np.empty_like(best)
+    out[one.order] = best
+    return out
+
+
+def ties(points: np.ndarray, clusters: np.ndarray, others: np.ndarray, their_clusters: np.ndarray, eps: float, pairs: int) -> list[tuple[int, int]]:
+    """Pairs of clusters, one of either set of core points, that tie together all clusters with points within eps of each other."""
+    one, other = Blocks(points, eps), Blocks(others, eps)
+    names, at = np.unique(np.concatenate((clusters[one.order], their_clusters[other.order])), return_inverse=True)
+    mine, theirs = at[: len(points)], at[len(points) :]
+    root = np.arange(len(names))
+    found: list[tuple[int, int]] = []
+    starts = other.bounds[:-1]
+    for a, whole, some in _facing(one, other):
+        own = mine[one.span(a)]
+        low, high = np.minimum.reduceat(root[theirs], starts), np.maximum.reduceat(root[theirs], starts)
+        for b in np.concatenate((whole, some)).tolist():
+            here = root[own]
+            if (here == here[0]).all() and low[b] == high[b] == here[0]:
+                continue  # one cluster already
+            far = theirs[other.span(b)]
+            if (here == here[0]).all() and (root[far] == here[0]).all():
+                continue
+            for rows, inside in _inside(one, a, other, b, pairs):
+                i, j = np.nonzero(inside)
+                for x, y in set(zip(mine[rows][i].tolist(), far[j].tolist(), strict=True)):
+                    if root[x] != root[y]:
+                        found.append((int(names[x]), int(names[y])))
+                        root[root == root[x]] = root[y]
+    return found

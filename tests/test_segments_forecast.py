@@ -190,3 +190,38 @@ def test_ks_of_shifted_samples(spark):
     want = np.abs(np.searchsorted(np.sort(a), grid, "right") / 500 - np.searchsorted(np.sort(b), grid, "right") / 400).max()
     row = drift.distribution_drift(old, new, ["v"]).first()
     assert row.ks == pytest.approx(want, abs=1e-6) and row.psi > 0.1
+
+
+def test_dbscan_where_points_crowd_in_many_dimensions(spark, monkeypatch):
+    """No enumeration of 3^7 neighbouring cells: pairs of parts settle what a part does not know, whatever the number of dimensions."""
+    from meterlake.operators import dbscan as module
+
+    rng = np.random.default_rng(11)
+    spread = np.concatenate([rng.normal(0, 0.8, (260, 7)), rng.normal(0, 0.8, (60, 7)) + 2.6, np.full((20, 7), 1.0)])
+    monkeypatch.setattr(module, "MOST_POINTS", 1)
+    monkeypatch.setattr(module, "PART_POINTS", 160)
+    names = [f"c{i}" for i in range(7)]
+    df = cut_lineage(spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(spread)], "id int, " + ", ".join(f"{n} double" for n in names)))
+    got = {r.id: r.dbscan_cluster for r in module.dbscan(df, names, "id", 1.15, 4).collect()}
+    assert not hasattr(module, "_candidate_pairs")
+    assert [got[i] for i in range(len(spread))] == brute_dbscan(spread, 1.15, 4)
+
+
+def test_what_parts_ask_each_other():
+    from meterlake.operators import density_parts
+
+    rng = np.random.default_rng(12)
+    a, b = rng.uniform(-3, 3, (300, 4)), rng.uniform(-3, 3, (400, 4))
+    near = ((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2) <= 1.15**2
+    numbers, mine = rng.integers(0, 50, 400), rng.integers(100, 130, 300)
+    none = np.iinfo(np.int64).max
+    for pairs in (1, 1 << 16):
+        assert density_parts.near_counts(a, b, 1.15, pairs).tolist() == near.sum(1).tolist()
+        assert density_parts.least_near(a, b, numbers, 1.15, pairs).tolist() == np.where(near, numbers[None, :], none).min(1).tolist()
+        root = {x: x for x in [*mine.tolist(), *numbers.tolist()]}
+        for x, y in density_parts.ties(a, mine, b, numbers, 1.15, pairs):
+            assert (near & (mine == x)[:, None] & (numbers == y)[None, :]).any() or (near & (mine == y)[:, None] & (numbers == x)[None, :]).any()
+            old, new = root[x], root[y]
+            root = {k: new if v == old else v for k, v in root.items()}
+        i, j = np.nonzero(near)
+        assert all(root[x] == root[y] for x, y in zip(mine[i].tolist(), numbers[j].tolist(), strict=True))
