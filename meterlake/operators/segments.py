@@ -6,6 +6,7 @@ import functools
 import operator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,11 +110,63 @@ def _nearest(columns: list[str], centres: np.ndarray) -> Column:
     return F.struct((F.array_position(far, F.array_min(far)) - 1).cast("int").alias("c"), F.array_min(far).alias("d"))
 
 
+LIMB = 2.0**32
+#: Rows whose distances are in memory at once; sums of that many limbs are exact in a double.
+BLOCK_ROWS = 8192
+
+
+def _limbs(units: np.ndarray) -> list[np.ndarray]:
+    """A whole number held in a double as three digits of base 2^32, the last one signed: low + mid * 2^32 + high * 2^64."""
+    up = np.floor(units / LIMB)
+    high = np.floor(up / LIMB)
+    return [units - up * LIMB, up - high * LIMB, high]
+
+
+def _round_of_rows(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """runs x k x (rows, limbs of the cost, limbs of every column's sum) of a block of rows, each counted with its nearest centre, the first
+    of equal ones."""
+    runs, k, width = centres.shape
+    units = [np.rint(x[:, i] * CENTRE_SCALE) for i in range(width)]
+    columns = [limb for u in units for limb in _limbs(u)]
+    out = np.empty((runs, k, 4 + 3 * width))
+    for r in range(runs):
+        far = np.zeros((len(x), k))
+        for i in range(width):  # added from the first column to the last, as a formula would
+            step = x[:, i, None] - centres[r, None, :, i]
+            far += step * step
+        at = far.argmin(1)
+        measures = [None, *_limbs(np.rint(far[np.arange(len(x)), at] * CENTRE_SCALE)), *columns]
+        for j, measure in enumerate(measures):
+            out[r, :, j] = np.bincount(at, weights=measure, minlength=k)
+    return out
+
+
+def _advance(df: DataFrame, columns: list[str], centres: np.ndarray) -> np.ndarray:
+    """runs x k x (rows, limbs of the cost, limbs of every column's sum) of all rows: summed in the tasks, of which there are as many as
+    the cluster runs at once, and then over their few numbers."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            for i in range(0, len(values), BLOCK_ROWS):
+                part = _round_of_rows(values[i : i + BLOCK_ROWS], centres).astype("int64")
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+    tasks = df.select(*columns).coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+    shape = (*centres.shape[:2], 4 + 3 * centres.shape[2])
+    found = [np.frombuffer(row["sums"], "int64").reshape(shape).astype(object) for row in tasks.mapInArrow(run, "sums binary").collect()]
+    return sum(found, np.zeros(shape, object))
+
+
 def fit_kmeans(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42) -> np.ndarray | None:
     """Centres of the cheapest of several runs, at rest: each is the mean of the rows nearest to it. None without rows.
 
     All restarts advance together: a round is one aggregate of restarts x k rows over a single read of the points, in whole units, so
-    centres do not depend on partitions. A centre without rows stays where it is.
+    centres do not depend on partitions. Centres travel as an array, so every round has the same plan. A centre without rows stays where
+    it is.
     """
     sample = df.orderBy(*[F.hash(*columns)], *columns).limit(SEED_ROWS).select(*columns).toPandas().to_numpy(dtype=float)
     if not len(sample):
@@ -122,17 +175,15 @@ def fit_kmeans(df: DataFrame, columns: list[str], k: int, restarts: int = 10, se
     centres = _first_centres(sample, k, restarts, seed)
     active = list(range(restarts))
     cost = np.zeros(restarts)
-    units = [F.sum(F.rint(F.col(c) * CENTRE_SCALE).cast("decimal(20,0)")).alias(f"s{i}") for i, c in enumerate(columns)]
-    total = F.sum(F.rint(F.col("_at.d") * CENTRE_SCALE).cast("decimal(28,0)")).alias("cost")
+
     while active:
-        runs = F.array(*[F.struct(F.lit(r).alias("r"), _nearest(columns, centres[r]).alias("n")) for r in active])
-        spread = df.select(*columns, F.explode(runs).alias("_run")).select(*columns, "_run.r", F.col("_run.n").alias("_at"))
-        rows = spread.groupBy("r", F.col("_at.c").alias("c")).agg(F.count("*").alias("n"), total, *units).collect()
         moved = centres.copy()
-        cost[active] = 0.0
-        for row in rows:
-            moved[row["r"], row["c"]] = [float(row[f"s{i}"]) / row["n"] / CENTRE_SCALE for i in range(len(columns))]
-            cost[row["r"]] += float(row["cost"]) / CENTRE_SCALE
+        for run, sums in zip(active, _advance(df, columns, centres[active]), strict=True):
+            low, mid, high = (sums[:, 1 + j :: 3] for j in range(3))
+            whole = low + mid * 2**32 + high * 2**64
+            cost[run] = float(whole[:, 0].sum()) / CENTRE_SCALE
+            for c in np.flatnonzero(sums[:, 0] > 0):
+                moved[run, c] = [float(v) / sums[c, 0] / CENTRE_SCALE for v in whole[c, 1:]]
         active = [r for r in active if not np.array_equal(moved[r], centres[r])]
         centres = moved
     return centres[int(np.argmin(cost))]

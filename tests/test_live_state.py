@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import drift, segments
+from meterlake.plans.session import cut_lineage
 from meterlake.streaming import feeds, live
 from meterlake.streaming.buckets import BucketTable
 from tests.test_models_streams import feed_of
@@ -135,3 +136,21 @@ def test_kmeans_of_few_rows(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "x double")
     assert {r.kmeans_cluster for r in segments.kmeans_clusters(df, ["x"], 3).collect()} <= {0, 1}
     assert segments.kmeans_clusters(df.limit(0), ["x"], 3).count() == 0
+
+
+def test_a_round_of_kmeans_is_one_pass_of_arrays(spark):
+    """Centres travel as data, not as a formula per round; sums are whole numbers of any size, over any partitions."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(200, 2)) * [1.0, 1e12], [[0.5, 2e12]] * 7])
+    df = cut_lineage(spark.createDataFrame([tuple(map(float, r)) for r in x], "x double, y double").repartition(5))
+    centres = np.stack([x[[0, 50, 100]], x[[1, 2, 3]]])
+    sums = segments._advance(df, ["x", "y"], centres)
+    for r in range(2):
+        far = ((x[:, None, :] - centres[r][None]) ** 2).sum(2)
+        for c in range(3):
+            mine = x[far.argmin(1) == c]
+            assert sums[r, c, 0] == len(mine)
+            for i in range(2):
+                low, mid, high = sums[r, c, 4 + 3 * i : 7 + 3 * i]
+                assert low + mid * 2**32 + high * 2**64 == sum(int(v) for v in np.rint(mine[:, i] * 1e9))
+    assert segments.kmeans_at_rest(segments.kmeans_clusters(df, ["x", "y"], 3, restarts=2), ["x"]).count() == len(x)
