@@ -168,3 +168,40 @@ def test_histogram_of_constant(spark):
     df = spark.createDataFrame([(2.0,)] * 5, "v double")
     rows = rollups.histogram(df, "v").orderBy("bucket").collect()
     assert [r["count"] for r in rows] == [5, 0, 0, 0] and rows[0].high == 3.0
+
+
+def test_a_sample_computes_wide_columns_for_its_own_rows_only(spark):
+    """Counts and cuts come from key and label; other columns are computed once, for the rows that may be taken."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def wide(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(1000).select(F.col("id").alias("reading_id"), (F.col("id") % 5 == 0).cast("int").alias("is_theft"))
+    rows = theft.balanced_sample(df.withColumn("wide", wide("reading_id")), 300).collect()
+    assert len({r.reading_id for r in rows}) == 300 and sum(r.is_theft for r in rows) == 100 and seen.value == 300
+    twice = df.unionAll(df).withColumn("reading_id", F.nullif(F.col("reading_id"), F.lit(5)))
+    assert theft.balanced_sample(twice, 300).count() == 300
+
+
+def test_prediction_scores_every_row_once(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from meterlake.plans import scoring
+    from meterlake.sources.tables import meter_readings
+    from tests.conftest import SF
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def odd(x):
+        seen.add(1)
+        return x
+
+    monkeypatch.setattr(scoring, "score_models", lambda df, models: theft.classify(df.withColumn("anomaly_score", odd("anomaly_score"))))
+    readings = meter_readings(spark, SF)
+    out = scoring.predict(readings, SimpleNamespace(importances=lambda: {"voltage": 1.0}), keep=("reading_id",))
+    rows = out.collect()
+    assert len(rows) == readings.count() == seen.value
