@@ -34,6 +34,8 @@ from meterlake.plans.session import checkpoint_folder
 END = 2
 #: Words that a worker process remembers, about 60 bytes each.
 WORDS_KEPT = 1_500_000
+#: Bytes of text that are encoded at once: numpy takes about 35 times as much meanwhile, and an executor's workers keep what they once took.
+STEP = 1 << 20
 #: Ids after which a shard is closed.
 SHARD = 1 << 20
 #: A pair is frequent from so many uses in a shard: a rule costs about four symbols.
@@ -280,7 +282,7 @@ def token_shards(docs: DataFrame, vocabulary: str, end: int = END, shard: int =
             if len(keys):
                 part = batch.column(2)[0].as_py()
             _, offsets = text_bytes(batch.column(1))
-            for a, b, _, _ in steps(np.zeros(0, np.uint8), offsets):
+            for a, b, _, _ in steps(np.zeros(0, np.uint8), offsets, STEP):
                 texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
                 for key, own in zip(keys[a:b], encoder.encode(texts), strict=True):
                     if ids and held + len(own) + 1 > shard:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import uuid
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -92,3 +94,24 @@ def test_repeated_and_hot_ids_keep_every_row(spark, tmp_path):
     assert len(got) == 302 and got[0][:2] == (3, 0) and got[-1][0] == 9
     assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got[:-1]]).tolist()
     assert read_back(spark, spark.createDataFrame([], DOC), tmp_path) == []
+
+
+def test_a_task_encodes_a_large_batch_in_small_steps(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x")], DOC)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = files.token_shards(docs, VOCABULARY)
+    rng = random.Random(3)
+    words = ["the", "quick", "brown", "fox", "naïve", "don't", "x1y22", "window", "reading", "meter"]
+    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(2400)]
+    batch = pa.record_batch([pa.array(range(2400), pa.int64()), pa.array(texts), pa.array([0] * 2400, pa.int32())], names=["doc_id", "text", "part"])
+    assert batch.nbytes > 5 << 20
+    list(run(iter([batch.slice(0, 10)])))  # the encoder itself is not counted
+    tracemalloc.start()
+    try:
+        rows = [row for out in run(iter([batch])) for row in out.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 << 20
+    counts = [len(e.ids) + 1 for e in Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    assert [n for r in rows for n in files.Shard(r["image"]).counts.tolist()] == counts
