@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +46,10 @@ SENT_AT_ONCE = 1_000_000
 BLOCK_SHINGLES = 3_000_000
 
 
+#: How often shingles are dealt to cells anew at most, where a candidate group is larger than that.
+DEALT_ANEW = 4
+
+
 #: Stands for a null id inside.
 NO_ID = -(2**63)
 
@@ -152,13 +157,31 @@ def prints_of(rows: DataFrame, link: Link) -> DataFrame:
     return rows.mapInArrow(run, PRINTS)
 
 
-SENT = "bucket int, tags binary, counts binary, hashes binary, known binary"
+SENT = "bucket int, task long, owners binary, hashes binary, tags binary, known binary"
 
 
-def supported(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
-    """tag, n: at least as many shingles as sets with this tag share with others."""
+def gap_bytes(numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending numbers as the gaps between them, a byte each (255: and 255 more), and where each number's bytes end; `first` begins a row anew."""
+    gaps = np.diff(numbers, prepend=0)
+    gaps[first] = numbers[first]
+    ends = np.cumsum(gaps // 255 + 1)
+    out = np.full(ends[-1] if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = gaps % 255
+    return out, np.append(0, ends)
+
+
+def from_gaps(row: bytes) -> np.ndarray:
+    gaps = np.frombuffer(row, np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps < 255]
+
+
+def sent_to_buckets(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
+    """The shingles of all rows by buckets of their hash: 4 bytes of the hash and about one that tells whose it is.
 
-    def flushed(sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+    Sets have numbers in what a task sends at once, so the bytes of a shingle do not depend on the number of buckets, which grows with the input.
+    """
+
+    def flushed(task: int, sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
         tags = np.frombuffer(b"".join(p[:8] for p in sets), np.int64)
         sizes = np.array([len(s) for s in sets.values()])
         flat = mix(np.concatenate(list(sets.values())))
@@ -172,22 +195,24 @@ def supported(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
         flat, owner = flat[first], np.where(runs > 1, len(sets), owner[first])
         bucket = ((flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((owner, bucket))
-        flat, owner, bucket = flat[order], owner[order], bucket[order]
+        flat, owner, bucket = flat[order].astype("<u4"), owner[order], bucket[order]
         starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        out = []
-        for a, b in zip(starts.tolist(), np.append(starts[1:], len(bucket)).tolist(), strict=True):
-            own = owner[a:b]
-            edge = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            counts = np.diff(np.append(edge, b - a))
-            some = own[edge] < len(sets)
-            out.append((int(bucket[a]), tags[own[edge[some]]].tobytes(), counts[some].astype("<u4").tobytes(), flat[a:b].astype("<u4").tobytes(), b""))
-        # What is known already rides along with the first bucket.
-        some = np.flatnonzero(known)
-        out[0] = (*out[0][:4], tags[some].tobytes() + known[some].astype("<i8").tobytes())
-        columns = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["bucket", "tags", "counts", "hashes", "known"])
+        homes = bucket[starts]
+        some = owner < len(sets)
+        named, place = owner[some], bucket[some]
+        gaps, ends = gap_bytes(named, np.append(True, place[1:] != place[:-1])[: len(place)])
+        low, high = (ends[np.searchsorted(place, homes, side)].tolist() for side in ("left", "right"))
+        edges = np.append(starts, len(flat)).tolist()
+        owners = [gaps[a:b].tobytes() for a, b in zip(low, high, strict=True)]
+        hashes = [flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        # The tags and what is known already ride along with the first bucket.
+        rest = [b""] * (len(homes) - 1)
+        columns = [owners, hashes, [tags.tobytes(), *rest], [known.astype("<i8").tobytes(), *rest]]
+        numbers = [pa.array(homes, pa.int32()), pa.array(np.full(len(homes), task, np.int64))]
+        return pa.RecordBatch.from_arrays([*numbers, *(pa.array(c, pa.binary()) for c in columns)], names=[x.split()[0] for x in SENT.split(", ")])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
         held: dict[bytes, np.ndarray] = {}
         size = 0
         for batch in batches:
@@ -198,50 +223,46 @@ def supported(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
                         held[key] = s
                         size += len(s)
                 if size >= SENT_AT_ONCE:
-                    yield flushed(held)
-                    held, size = {}, 0
+                    yield flushed(task, held)
+                    held, size, task = {}, 0, task + 1
         if held:
-            yield flushed(held)
+            yield flushed(task, held)
+
+    return rows.select("text").mapInArrow(send, SENT)
+
+
+def supported(rows: DataFrame, link: Link, buckets: int) -> DataFrame:
+    """tag, n: at least as many shingles as sets with this tag share with others; a copy in another task counts as another set.
+
+    The buckets answer with about a byte for each shingle that they found elsewhere too, and the answers go back to where sets have numbers.
+    """
 
     def meet(rows: pa.Table) -> pa.Table:
-        column = lambda name, kind: [np.frombuffer(x, kind) for x in rows.column(name).to_pylist()]
-        tags, hashes = column("tags", "<i8"), column("hashes", "<u4")
-        known = [k.reshape(2, -1) for k in column("known", "<i8")]
-        base = np.cumsum([0] + [len(t) for t in tags])
-        slots = []
-        for counts, own, at in zip(column("counts", "<u4"), hashes, base[:-1].tolist(), strict=True):
-            slot = np.full(len(own), -1, np.int32)
-            named = np.repeat(np.arange(len(counts), dtype=np.int32) + at, counts)
-            slot[: len(named)] = named
-            slots.append(slot)
-        flat, slot = np.concatenate(hashes), np.concatenate(slots)
+        hashes = [np.frombuffer(x, "<u4") for x in rows.column("hashes").to_pylist()]
+        flat = np.concatenate(hashes)
         order = np.argsort(flat, kind="stable")
-        flat, slot = flat[order], slot[order]
-        runs = np.diff(np.append(np.flatnonzero(np.append(True, flat[1:] != flat[:-1])), len(flat)))
-        shared = slot[np.repeat(runs > 1, runs)]
-        n = np.bincount(shared[shared >= 0], minlength=int(base[-1]))
-        tag = np.concatenate([np.concatenate(tags)[n > 0], *(k[0] for k in known)])
-        n = np.concatenate([n[n > 0], *(k[1] for k in known)])
-        home = (tag.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(home, kind="stable")
-        edges = np.append(np.flatnonzero(np.append(True, home[order][1:] != home[order][:-1])), len(home)) if len(home) else np.zeros(1, np.int64)
-        parts = [order[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        columns = [pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (tag, n)]
-        return pa.table([pa.array(home[order][edges[:-1]] if len(home) else [], pa.int32()), *columns], names=["home", "tags", "counts"])
+        runs = np.diff(np.append(np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1])), len(flat)))
+        shared = np.zeros(len(flat), bool)
+        shared[order] = np.repeat(runs > 1, runs)
+        base = np.cumsum([0] + [len(h) for h in hashes]).tolist()
+        answers = []
+        for at, row in zip(base, rows.column("owners").to_pylist(), strict=False):
+            own = from_gaps(row)
+            own = own[shared[at : at + len(own)]]
+            answers.append(gap_bytes(own, np.zeros(0, np.int64))[0].tobytes())
+        return pa.table([rows.column("task"), pa.array(answers, pa.binary()), rows.column("tags"), rows.column("known")], names=["task", "owners", "tags", "known"])
 
     def total(rows: pa.Table) -> pa.Table:
-        tag, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.int64) for c in ("tags", "counts"))
-        order = np.argsort(tag, kind="stable")
-        first = np.flatnonzero(np.append(True, tag[order][1:] != tag[order][:-1]))
-        return pa.table([pa.array(tag[order][first]), pa.array(np.add.reduceat(n[order], first))], names=["tag", "n"])
+        tag, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), "<i8") for c in ("tags", "known"))
+        n = n + np.bincount(np.concatenate([from_gaps(row) for row in rows.column("owners").to_pylist()]), minlength=len(tag))
+        return pa.table([pa.array(tag[n > 0]), pa.array(n[n > 0], pa.int64())], names=["tag", "n"])
 
-    sent = rows.select("text").mapInArrow(send, SENT)
-    met = sent.groupBy("bucket").applyInArrow(meet, "home int, tags binary, counts binary")
-    return met.groupBy("home").applyInArrow(total, "tag long, n long")
+    met = sent_to_buckets(rows, link, buckets).groupBy("bucket").applyInArrow(meet, "task long, owners binary, tags binary, known binary")
+    return met.groupBy("task").applyInArrow(total, "tag long, n long").groupBy("tag").agg(F.max("n").alias("n"))
 
 
-def regions_of(rows: DataFrame, link: Link) -> DataFrame:
-    """tag and regions of the set of every row."""
+def regions_of(rows: DataFrame, link: Link, seed: int = 0) -> DataFrame:
+    """tag and regions of the set of every row; each seed deals shingles to cells anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = link.rings(1)
@@ -249,7 +270,7 @@ def regions_of(rows: DataFrame, link: Link) -> DataFrame:
             data, offsets = text_bytes(batch.column(0))
             for _, _, part, own in steps(data, offsets, STEP):
                 # Copies within a step are sent once.
-                some = {print_of(s): signatures(s, link, edges) for s in shingle_sets(part, own, link.words) if len(s)}
+                some = {print_of(s): signatures(mix(s + np.uint64(seed)) if seed else s, link, edges) for s in shingle_sets(part, own, link.words) if len(s)}
                 ends = np.concatenate(([0], np.cumsum([len(r) for r in some.values()]))).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.uint64), *some.values()]).view(np.int64)
                 tags = np.frombuffer(b"".join(p[:8] for p in some), np.int64)
@@ -277,6 +298,37 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def tied(texts: DataFrame, link: Link, seed: int = 0) -> DataFrame:
+    """node, root of the sets (tag, text) that share a region with another one, directly or by others; linked sets have one root."""
+    # Chains: in every region each set is tied to the one before it, so a region of any size costs a row a member.
+    spread = regions_of(texts, link, seed).select(F.explode("regions").alias("region"), "tag")
+    before = F.lag("tag").over(Window.partitionBy("region").orderBy("tag"))
+    found = components(spread.select(F.col("tag").alias("a"), before.alias("b")).filter("a <> b"))
+    return found.unionByName(found.select(F.col("root").alias("node"), "root")).distinct()
+
+
+def candidates(texts: DataFrame, link: Link) -> DataFrame:
+    """print, n_shingles, node, root of the sets that may link to others, which then have the same root.
+
+    Chains tie sets that are not linked, the more the larger the corpus. Linked sets share a region however shingles are dealt to cells, so
+    the groups that are too large for one task are parted by dealing anew: only what is tied each time stays together.
+    """
+    sets = texts.select("print", "n_shingles", F.col("tag").alias("node"))
+    members = cut_lineage(sets.join(tied(texts, link), "node"))
+    before = None
+    for seed in range(1, DEALT_ANEW + 1):
+        large = members.groupBy("root").agg(F.sum("n_shingles").alias("size")).filter(F.col("size") > BLOCK_SHINGLES)
+        size = large.agg(F.sum("size")).first()[0] or 0
+        if not size or before and size > 0.9 * before:
+            break
+        before = size
+        parted = cut_lineage(members.join(large, "root", "left_semi"))
+        again = tied(texts.join(parted.select("print"), "print").select("tag", "text"), link, seed).withColumnRenamed("root", "_again")
+        finer = parted.join(again, "node").withColumn("root", F.xxhash64("root", "_again")).drop("_again")
+        members = cut_lineage(members.join(large, "root", "left_anti").unionByName(finer))
+    return members
+
+
 class Sets:
     """Shingle sets laid end to end, with the places of every shingle, for distances of one to many."""
 
@@ -394,18 +446,23 @@ def named_rows(docs: DataFrame, link: Link = Link()) -> DataFrame:
     rows = row_keys(docs)
     ids = cut_lineage(prints_of(rows, link))
     # One document of each set shows it.
-    shown = ids.groupBy("print").agg(F.min(F.struct("doc_id", "sha")).alias("_row"), F.first("n_shingles").alias("n_shingles"), F.first("tag").alias("tag"))
-    near = shown.join(supported(rows, link, parallel(spark)), "tag").filter(F.col("n") * link.den >= link.num * F.col("n_shingles"))
-    near = cut_lineage(near.select("print", "tag", "n_shingles", "_row.*"))
+    shown = ids.groupBy("print").agg(
+        F.min(F.struct("doc_id", "sha")).alias("_row"), F.first("n_shingles").alias("n_shingles"), F.first("tag").alias("tag"), (F.count("*") > 1).alias("copied")
+    )
+
+    def backed(sets: DataFrame, held: DataFrame) -> DataFrame:
+        return sets.join(supported(held, link, parallel(spark)), "tag").filter(F.col("n") * link.den >= link.num * F.col("n_shingles"))
+
+    near = cut_lineage(backed(shown, rows).select("print", "tag", "n_shingles", "copied", "_row.*"))
     release(spark)
-    texts = cut_lineage(rows.join(near, ["doc_id", "sha"]).dropDuplicates(["print"]).select("print", "tag", "n_shingles", "text"))
+    texts = cut_lineage(rows.join(near, ["doc_id", "sha"]).dropDuplicates(["print"]).select("print", "tag", "n_shingles", "copied", "text"))
     release(spark)
-    # Chains: in every region each set is tied to the one before it, so a region of any size costs a row a member.
-    spread = regions_of(texts, link).select(F.explode("regions").alias("region"), "tag")
-    before = F.lag("tag").over(Window.partitionBy("region").orderBy("tag"))
-    candidates = components(spread.select(F.col("tag").alias("a"), before.alias("b")).filter("a <> b"))
-    labelled = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root")).distinct()
-    members = cut_lineage(texts.select("print", "n_shingles", F.col("tag").alias("node")).join(labelled, "node").select("print", "n_shingles", "root"))
+    # Copies back each other. Where many sets have copies, all are asked again with one row each.
+    most = texts.agg(F.count("*").alias("n"), F.count_if("copied").alias("copied")).first()
+    if most["copied"] * 4 > most["n"]:
+        texts = cut_lineage(texts.join(backed(texts.drop("text"), texts).select("print"), "print"))
+        release(spark)
+    members = candidates(texts, link).select("print", "n_shingles", "root")
     total = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int").alias("own")
     # Every pair of blocks of a large candidate group meets in one task; a small group is one block.

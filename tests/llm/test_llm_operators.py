@@ -266,6 +266,49 @@ def test_components_join_long_chains(spark):
 # Language and quality
 
 
+def test_jaccard_sends_as_many_bytes_a_shingle_to_many_buckets(spark):
+    rng = random.Random(7)
+    docs = docs_of(spark, [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(100, 400)))) for i in range(300)])
+    for buckets in (10, 2000):
+        sent = jaccard.sent_to_buckets(jaccard.row_keys(docs.coalesce(1)), jaccard.Link(), buckets)
+        size = lambda *names: F.sum(sum(F.length(n) for n in names))
+        shingles, rest = sent.agg(size("hashes") / 4, size("owners", "tags", "known")).first()
+        assert shingles > 60_000 and rest < 1.2 * shingles
+    numbers = np.array([0, 0, 254, 255, 1000, 0, 700])
+    gaps, ends = jaccard.gap_bytes(numbers, np.isin(np.arange(7), [0, 5]))
+    assert [jaccard.from_gaps(gaps[ends[a] : ends[b]].tobytes()).tolist() for a, b in ((0, 5), (5, 7))] == [[0, 0, 254, 255, 1000], [0, 700]]
+
+
+def test_jaccard_copies_do_not_make_candidates(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(30)]
+    rows = [(100 * k + i, t) for k in range(4) for i, t in enumerate(texts)] + [(900, texts[3] + " more"), (901, texts[3] + " more")]
+    asked, candidates = [], jaccard.candidates
+    monkeypatch.setattr(jaccard, "candidates", lambda texts, link: asked.append(texts.count()) or candidates(texts, link))
+    got = {r.doc_id: r.component_id for r in jaccard.groups(docs_of(spark, rows).repartition(8), jaccard.Link()).collect()}
+    assert got == {i: 3 if i >= 900 else i % 100 for i, _ in rows}
+    assert asked == [2]
+
+
+def test_jaccard_parts_candidates_that_are_only_tied(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    common = [word() for _ in range(14)]
+    texts = [" ".join([*common, *(word() for _ in range(10))]) for _ in range(120)]
+    texts += [t.rsplit(" ", 1)[0] + " other" for t in texts[:20]]
+    rows = jaccard.row_keys(docs_of(spark, list(enumerate(texts))))
+    sets = jaccard.prints_of(rows, jaccard.Link()).join(rows, ["doc_id", "sha"]).select("doc_id", "print", "tag", "n_shingles", "text").cache()
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 200)
+    largest = []
+    for most in (0, 4):
+        monkeypatch.setattr(jaccard, "DEALT_ANEW", most)
+        found = jaccard.candidates(sets, jaccard.Link())
+        largest.append(max(r["count"] for r in found.groupBy("root").count().collect()))
+        root = {r.doc_id: r.root for r in found.join(sets, "print").select("doc_id", "root").collect()}
+        assert all(root[i] == root[120 + i] for i in range(20))
+    assert largest[1] < largest[0]
+
+
 def test_languages_are_told_apart_on_held_out_rows(spark):
     got = QUERIES["op6_language_id"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.filter("held_out").toPandas()
