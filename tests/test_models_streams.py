@@ -11,6 +11,7 @@ from meterlake.operators.clean import clean_readings
 from meterlake.operators.features import rolling_features
 from meterlake.plans import export, scoring
 from meterlake.plans.session import cut_lineage
+from meterlake.schema import MODEL_CATEGORICAL
 from meterlake.sources.tables import meter_readings
 from meterlake.streaming import feeds
 from tests.conftest import SF
@@ -104,6 +105,20 @@ def test_predict_has_twelve_fields(spark, real):
     assert answer.count() == real.count()
 
 
+def test_queries_fit_on_all_readings(spark, monkeypatch):
+    from meterlake.catalog import models as catalog
+
+    rows = spark.range(61_000).select(
+        F.col("id").alias("reading_id"), (F.col("id") % 50 == 0).cast("int").alias("is_theft"), (F.col("id") % 97).cast("double").alias("power"),
+        *[F.concat(F.lit(c[0]), F.col("id") % 2).alias(c) for c in MODEL_CATEGORICAL],
+    )
+    monkeypatch.setattr(catalog, "readings", lambda spark, folder: rows)
+    monkeypatch.setattr(catalog, "features", lambda spark, folder: rows)
+    monkeypatch.setattr(catalog, "SIZES", models.ModelSizes(5, 2, 2, 2, 2))
+    bundle = catalog.fitted(spark, "")
+    assert bundle.metrics["training_rows"] == 61_000 and {"region_r0", "region_r1"} <= set(bundle.columns)
+
+
 def test_documents(spark, real, tmp_path):
     from meterlake.catalog.base import scored
 
